@@ -190,17 +190,17 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     """
     docs = docs.drop(out_col)
     at = docs.columns.index(text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.ratios, model.slope, model.shift))
 
     def run(batches):
         import math
 
-        m = sent.value
+        weights, ratios, slope, shift = sent.value
         words = worker_cache("quality_words", WordKeys)
         for b in batches:
             out = []
             for t in b.column(at).cast(pa.binary()).to_pylist():
-                z = m.slope * margin(indicators(t or b"", words), m.weights, m.ratios) + m.shift
+                z = slope * margin(indicators(t or b"", words), weights, ratios) + shift
                 out.append(1 / (1 + math.exp(-max(-60.0, min(60.0, z)))))
             yield b.append_column(out_col, pa.array(out, pa.float64()))
 
