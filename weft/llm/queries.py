@@ -6,13 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontaminate, exact_dedup, html_extract, packing, quality, url_filter, warc
+from weft.llm import decontaminate, exact_dedup, html_extract, jaccard_join, lm_score, packing, quality, url_filter, warc
 from weft.llm.common import fold, table
 
 #: Fixed values of the contract.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.score(table(spark, sf_dir, "documents"), fold(F.col("id"), 7) != 2)
+    return scored.withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = jaccard_join.near_groups(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -44,6 +54,6 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_html_extraction, op5_warc, op6_url_filter, op7_quality_classifier, op8_exact_dedup, op9_packing, op10_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_ngram_jaccard_join, op4_html_extraction, op5_warc, op6_url_filter, op7_quality_classifier, op8_exact_dedup, op9_packing, op10_benchmark_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {}
