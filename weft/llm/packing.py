@@ -7,8 +7,11 @@ class: full sequences first, then the largest floor(capacity/j) that fits, until
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
+from itertools import filterfalse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,7 +21,7 @@ from weft.llm.common import text_or_empty, worker_cache, written
 
 #: Rests of at most capacity / SMALL ids aren't cut further.
 SMALL = 16
-#: Words whose ids a worker keeps; the cache is emptied when full.
+#: Words, and runs of them, whose ids a worker keeps; the first ones it meets.
 CACHED_WORDS = 400_000
 #: Tasks whose open bins are closed together.
 POOL = 256
@@ -30,23 +33,74 @@ class WordIds(dict):
     """Ids of a white-space-free piece of text, as little-endian 32-bit bytes.
 
     The vocabulary's pre-tokenizer never joins text across white space and drops the white space
-    itself, so a text's ids are those of its pieces, one after the other.
+    itself, so a text's ids are those of its pieces, one after the other. In words of plain Latin
+    letters, where lower case and composed forms are as the normalizer's, the runs that the
+    pre-tokenizer parts (letters, a digit, other signs) go to the vocabulary's model one by one and
+    are kept, so that a run is merged once however it is capitalised or punctuated.
     """
 
+    # The pre-tokenizer's runs, over ASCII and the letters U+00C0 to U+00FF; line breaks part words.
+    ODD = re.compile("[^\n\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]|<[|]")
+    RUNS = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\na-z0-9\xdf-\xf6\xf8-\xff]+")
+
     def __init__(self, path):
         from tokenizers import Tokenizer
-
-        self.encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, word):
-        import numpy as np
-
-        ids = np.array(self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.runs: dict[str, bytes] = {}
+        # The signs of each letter's bytes, as the byte-level pre-tokenizer writes them.
+        own = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {c: own.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]}
+
+    def of(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of each text, given as its words."""
+        got = [list(map(self.get, words)) for words in texts]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] for own in got]
+        new = {words[i] for words, own in zip(texts, gaps, strict=True) for i in own}
+        if new:
+            more = dict(self.learn(list(new)))
+            for words, own, at in zip(texts, got, gaps, strict=True):
+                for i in at:
+                    own[i] = more[words[i]]
+            if len(self) < CACHED_WORDS:
+                self.update(more)
+        return list(map(b"".join, got))
+
+    def learn(self, words: list[bytes]):
+        """(word, ids) of new words."""
+        text = b"\n".join(words).decode("utf-8", "replace")
+        if self.ODD.search(text):
+            plain = []
+            for word in words:
+                own = word.decode("utf-8", "replace")
+                if self.ODD.search(own):
+                    yield word, array("I", self.tokenizer.encode(own, add_special_tokens=False).ids).tobytes()
+                else:
+                    plain.append(word)
+            words, text = plain, b"\n".join(plain).decode()
+        if not words:
+            return
+        flat = self.RUNS.findall(text.lower())
+        flat.append("\n")
+        runs = self.runs
+        new = set(filterfalse(runs.__contains__, flat))
+        new.discard("\n")
+        new = list(new)
+        signs = "\n".join(new).translate(self.signs).split("\n") if new else []
+        for run, tokens in zip(new, map(self.tokenizer.model.tokenize, signs), strict=True):
+            runs[run] = array("I", [t.id for t in tokens]).tobytes()
+        at, held = 0, []
+        for run in flat:
+            if run == "\n":
+                yield words[at], held[0] if len(held) == 1 else b"".join(held)
+                at += 1
+                held = []
+            else:
+                held.append(runs[run])
+        if len(runs) > CACHED_WORDS:
+            for run in new:
+                del runs[run]
 
 
 def cuts(n: int, capacity: int) -> list[int]:
@@ -113,6 +167,18 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, i
     src = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     spec = f"id long, start long, {PIECES}, sequence_id long, offset long, worker int"
 
+    def documents(b, ids_of, chars=1 << 21):
+        """(id, ids) of a batch's rows, some megabytes of text at a time."""
+        who, held, size = [], [], 0
+        for rid, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            who.append(rid)
+            held.append(text.split())
+            size += len(text)
+            if size >= chars:
+                yield from zip(who, ids_of.of(held), strict=True)
+                who, held, size = [], [], 0
+        yield from zip(who, ids_of.of(held), strict=True)
+
     def run(batches):
         import numpy as np
         from pyspark import TaskContext
@@ -124,9 +190,8 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, i
         open_bins = defaultdict(list)
         for b in batches:
             rows = []
-            col = b.column(1)
-            for rid, text in zip(b.column(0).to_pylist(), col.cast(pa.binary()).to_pylist(), strict=True):
-                data = b"".join(map(ids_of.__getitem__, text.split())) + end
+            for rid, data in documents(b, ids_of):
+                data += end
                 n, start = len(data) // 4, 0
                 for size in cuts(n, capacity):
                     piece = (size, rid, start, zlib.crc32(data[4 * start : 4 * (start + size)]), n)
