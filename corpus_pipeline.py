@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weft.llm import decontaminate, exact_dedup, packing, quality
+from weft.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
 from weft.llm.common import fold, table, written
 
 
@@ -20,6 +20,11 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return jaccard_join.keep_one(docs, k=5, num=80, den=100)
+
+
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -30,7 +35,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality classifier", keep_quality), ("exact dedup", keep_exact), ("benchmark decontamination", keep_clean), ("packing", pack)]
+STAGES = [("quality classifier", keep_quality), ("exact dedup", keep_exact), ("n-gram jaccard join", keep_distinct), ("benchmark decontamination", keep_clean), ("packing", pack)]
 
 #: SQL can't express the fitted classifier.
 ORACLE_SQL = None

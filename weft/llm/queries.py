@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontaminate, exact_dedup, html_extract, jaccard_join, lm_score, packing, quality, url_filter, warc
+from weft.llm import chat, decontaminate, exact_dedup, html_extract, jaccard_join, lm_score, packing, quality, url_filter, warc
 from weft.llm.common import fold, table
 
 #: Fixed values of the contract.
@@ -23,6 +23,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,29 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_ngram_jaccard_join, op4_html_extraction, op5_warc, op6_url_filter, op7_quality_classifier, op8_exact_dedup, op9_packing, op10_benchmark_decontamination)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_ngram_jaccard_join, op3_quotation_linking, op4_html_extraction, op5_warc, op6_url_filter, op7_quality_classifier, op8_exact_dedup, op9_packing, op10_benchmark_decontamination)}
+
+#: DuckDB SQL of the queries that it expresses; the others are tested against brute force.
+ORACLE_SQL = {
+    "op3_quotation_linking": chat.SQL,
+    "op6_url_filter": r"""
+with u as (
+  select page_id, case when url like '%://%' then split_part(split_part(substr(url, strpos(url, '://') + 3), '#', 1), '?', 1) else '' end as rest from pages),
+h as (
+  select page_id, translate(split_part(rest, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         case when strpos(rest, '/') > 0 then substr(rest, strpos(rest, '/')) else '' end as path from u),
+r(rule, rhost, rpath, verdict) as (values ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+f as (
+  select h.page_id, h.host, h.path, max(struct_pack(n := length(r.rule), rule := r.rule, verdict := r.verdict)) as best
+  from h left join r on (h.host = r.rhost or suffix(h.host, '.' || r.rhost)) and starts_with(h.path, r.rpath) group by all)
+select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from f
+""",
+    "op8_exact_dedup": r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents)
+select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size,
+       doc_id = first_value(doc_id) over w as kept, sha256(norm) as text_sha256
+from d window w as (partition by norm order by n desc, doc_id)
+""",
+}
