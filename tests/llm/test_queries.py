@@ -1,0 +1,43 @@
+"""The registered queries on the smallest tables, against SQL where there is any; the pipeline."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from weft.llm import queries
+from weft.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for f in glob.glob(f"{SF}/*.parquet"):
+        con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    df = queries.QUERIES[name](spark, SF)
+    cur = con.execute(queries.ORACLE_SQL[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(repr, (tuple(r) for r in df.select(names).collect()))) == sorted(map(repr, cur.fetchall()))
+
+
+def test_pipeline(spark):
+    docs = table(spark, SF, "documents")
+    labels = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    kept = docs
+    sizes = [docs.count()]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == docs.columns
+        sizes.append(kept.count())
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    packed = corpus_pipeline.run(spark, SF)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids
+    good = [i for i, q in labels.items() if q == 1]
+    first = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, SF).select("doc_id").collect()}
+    assert sum(i in first for i in good) >= 0.95 * len(good)
