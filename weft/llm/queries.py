@@ -82,5 +82,29 @@ with d as (
 select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size,
        doc_id = first_value(doc_id) over w as kept, sha256(norm) as text_sha256
 from d window w as (partition by norm order by n desc, doc_id)
+""",
+    "op2_ngram_jaccard_join": r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (
+  select doc_id, list_distinct(case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as set from w),
+e as materialized (select doc_id, len(set) as n, unnest(set) as sh from s),
+p as materialized (
+  select a.doc_id as a, b.doc_id as b from e a join e b on a.sh = b.sh and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+r(node, seen) as (select distinct a, a from p union select r.node, p.b from r join p on r.seen = p.a),
+c as (select node, min(seen) as root from r group by node),
+l as (select a, count(*) as n_links from p group by a)
+select s.doc_id, cast(len(s.set) as bigint) as n_shingles, coalesce(c.root, s.doc_id) as component_id, cast(coalesce(l.n_links, 0) as bigint) as n_links
+from s left join c on s.doc_id = c.node left join l on s.doc_id = l.a
+""",
+    "op5_warc": r"""
+with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h, min(page_id) over (partition by coalesce(html, '')) as first from pages)
+select page_id, cast(strlen(body) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((cast('0x' || substr(h, 1 + 5 * (i // 4), 5) as integer) >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to
+from p
 """,
 }
