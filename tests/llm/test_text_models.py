@@ -182,11 +182,11 @@ def test_myers():
 def test_leaks(spark, frame, odd):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
-    items = [" ".join(word() for _ in range(rng.randint(12, 40))) for _ in range(30)]
+    items = [" ".join(word() for _ in range(rng.randint(12, 40))) for _ in range(10)]
     rows = list(odd)
-    for n in range(120):
+    for n in range(50):
         text = [word() for _ in range(60)]
-        item = list(items[n % 30])
+        item = list(items[n % 10])
         for _ in range(rng.randint(0, 2 + len(item) // 12)):
             k = rng.randrange(len(item))
             item[k] = rng.choice(["", "z", "q" + item[k]])
@@ -204,7 +204,7 @@ def test_leaks(spark, frame, odd):
                 want.add((i, k, d))
                 if k == 0:
                     want.add((i, None, d))
-    assert {(r.doc_id, r.item_id, r.edits) for r in got} == want and len(want) > 20
+    assert {(r.doc_id, r.item_id, r.edits) for r in got} == want and len(want) > 10
     clean = decontaminate.drop_leaks(frame(rows), bench).collect()
     assert len(clean) == len(rows) - len({i for i, *_ in want})
     assert decontaminate.find_leaks(frame([]), bench).collect() == []

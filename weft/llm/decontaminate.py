@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Edits allowed, per character of the item.
-RATE = 0.06
+RATE = 0.08
 #: Characters of items in one automaton; a larger benchmark is matched in blocks of this size.
 BLOCK_CHARS = 4_000_000
 

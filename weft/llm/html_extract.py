@@ -37,7 +37,7 @@ SPACE = re.compile(r"\s+")
 
 def marked(attrs: str) -> bool:
     """Whether class, id or role (or being hidden) says boilerplate."""
-    if not attrs:
+    if not attrs or attrs.isspace():
         return False
     for m in ATTR.finditer(attrs):
         value = next(x for x in m.groups() if x is not None)
@@ -48,21 +48,26 @@ def marked(attrs: str) -> bool:
 
 
 def lines_of(page: str):
-    """(text, weight, in article) per line. Weight 0: nothing, or boilerplate by markup."""
+    """(text, weight, in article) per line. Weight 0: boilerplate by markup, or links only outside an article."""
     out: list[tuple[str, int, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
     parts: list[str] = []
-    linked = 0
     state = [False, False]
+    plain = in_link = False  # whether the line has text outside links; whether a link is open
 
     def end_line():
-        nonlocal linked
+        nonlocal plain
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, 0 if state[0] else len(text), state[1]))
+                out.append((text, 0 if state[0] or not (plain or state[1]) else len(text), state[1]))
             parts.clear()
-        linked = 0
+        plain = False
+
+    def text_part(part):
+        nonlocal plain
+        parts.append(part)
+        plain = plain or not in_link and not part.isspace()
 
     def settle():
         state[0] = any(x[1] for x in stack)
@@ -72,15 +77,17 @@ def lines_of(page: str):
     while at < n:
         m = TAG.search(page, at)
         if m is None:
-            parts.append(page[at:])
+            text_part(page[at:])
             break
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            text_part(page[at : m.start()])
         at = m.end()
         name = m.group(2)
         if name is None:
             continue
         name = name.lower()
+        if name == "a":
+            in_link = not m.group(1)
         if m.group(1):
             if name in BLOCK:
                 end_line()
@@ -109,8 +116,8 @@ def lines_of(page: str):
         if name in VOID or m.group(3).rstrip().endswith("/") and name not in BLOCK:
             continue
         article = name in ("article", "main")
-        # headings and header inside an article belong to it unless marked; the box of comments doesn't
-        boiler = name in BOILER or (name not in ("html", "body", "article", "main") and marked(m.group(3)))
+        # An article's own header holds its title; the boxes of comments and adverts in it are boilerplate.
+        boiler = (name in BOILER and not (name == "header" and state[1])) or (name not in ("html", "body", "article", "main") and marked(m.group(3)))
         if boiler or article or name in BLOCK:
             if name == "p" and any(x[0] == "p" for x in stack):
                 while stack and stack[-1][0] == "p":
