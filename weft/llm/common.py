@@ -46,11 +46,15 @@ def drop_written(*dfs: DataFrame) -> None:
 
 
 def worker_cache(name: str, make):
-    """A value kept in a worker process between tasks; ``make`` builds it on first use."""
+    """A value kept in a worker process between tasks; ``make`` builds it on first use.
+
+    One value is kept at a time, so a worker's memory doesn't grow with the operators it has served.
+    """
     store = sys.modules.setdefault("_weft_worker_cache", types.ModuleType("_weft_worker_cache"))
-    if not hasattr(store, name):
-        setattr(store, name, make())
-    return getattr(store, name)
+    if getattr(store, "name", None) != name:
+        store.name, store.value = name, None
+        store.value = make()
+    return store.value
 
 
 def text_or_empty(col: Column | str) -> Column:
