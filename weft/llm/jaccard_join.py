@@ -1,7 +1,7 @@
 """N-gram Jaccard join with grouped prefixes.
 
 A document is the set of its hashed word shingles; two link when their Jaccard similarity reaches
-num/den. With n shingles, slack s(n) = floor(n * (1 - num/den)) and l(n) = floor(s(n)/2) + 1:
+num/den. With n shingles, slack s(n) = floor(n * (1 - num/den)) and l(n) = floor(s(n)/3) + 1:
 
 * Linked documents share at least l of the first s + l shingles of each (in hash order), l being that
   of the smaller one. These windows are all that is counted and joined.
@@ -33,7 +33,7 @@ BLOCK = 512
 #: Sets that are broadcast when documents are led to their node: those with the most copies.
 HOT_SETS = 1000
 #: Slots of the sieve that keeps texts without candidates out of the shuffle.
-SIEVE = 1 << 18
+SIEVE = 1 << 20
 
 
 class WordHashes(dict):
@@ -74,7 +74,7 @@ def slack(n: int, num: int, den: int) -> int:
 
 def shared_least(n: int, num: int, den: int) -> int:
     """l(n)"""
-    return slack(n, num, den) // 2 + 1
+    return slack(n, num, den) // 3 + 1
 
 
 def window_size(n: int, num: int, den: int) -> int:
@@ -165,18 +165,22 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
     drop_written(sets)
 
     # Window shingles that several nodes have, and how many nodes.
-    entries = nodes.select("node", "n", F.explode("win").alias("key"))
+    entries = nodes.select("node", F.explode("win").alias("key"))
     often = entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     met = entries.join(often, "key")
     s = f"(n - ceil({num} * n / {den}))"
-    m = f"(floor((ceil({num} * n / {den}) - ceil({num} * ceil({num} * n / {den}) / {den})) / 2) + 1)"
-    wsize = f"least(n, {s} + floor({s} / 2) + 1)"
+    m = f"(floor((ceil({num} * n / {den}) - ceil({num} * ceil({num} * n / {den}) / {den})) / 3) + 1)"
+    wsize = f"least(n, {s} + floor({s} / 3) + 1)"
     by_node = Window.partitionBy("node")
     ranked = met.withColumn("rank", F.row_number().over(by_node.orderBy("c", "key"))).withColumn("seen", F.count("*").over(by_node))
+    ranked = ranked.join(nodes.select("node", "n"), "node")
     # Single-node shingles come first: they use up the prefix by (window - seen).
     prefix = ranked.filter(F.expr(f"rank <= {wsize} - {m} + 1 - ({wsize} - seen)"))
     prefixes = prefix.groupBy("node", "n").agg(F.sort_array(F.collect_list("key")).alias("prefix"))
     prefixes = written(prefixes, "prefixes")
+    slim = written(nodes.drop("win"), "slim")
+    drop_written(nodes)
+    nodes = slim
 
     # Groups: one prefix and size; then ties between groups that share a shingle, by bands of size.
     groups = written(prefixes.groupBy("n", "prefix").agg(F.min("node").alias("g"), F.count("*").alias("members")), "groups")
