@@ -98,7 +98,7 @@ def fit_hinge(rows, labels, ratios, cost: float = 1.0, epochs: int = 20, seed: i
 
     y = np.where(np.asarray(labels) == 1, 1.0, -1.0)
     share = {s: len(y) / (2 * max(1, int((y == s).sum()))) for s in (1.0, -1.0)}
-    xs = [unit(ratios[r]) for r in rows]
+    xs = [unit(ratios[r]).astype(np.float32) for r in rows]
     w, alpha, rng = np.zeros(DIMS), np.zeros(len(y)), np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
