@@ -65,21 +65,16 @@ class Task:
 
     def register(self, spark: SparkSession, return_type: str):
         """A SQL function of this task's name, run over Arrow batches."""
+        import pandas as pd
         from pyspark.sql.functions import pandas_udf
 
         run = self.run
 
-        def batch(*cols):
-            import pandas as pd
-
+        def batch(*cols: pd.Series) -> pd.Series:
             return pd.Series([run(*row) for row in zip(*cols, strict=True)])
 
-        import pandas as pd
-
-        batch.__annotations__ = {}
-        udf = pandas_udf(lambda *cols: batch(*cols), return_type, 200)
-        del pd
-        return spark.udf.register(self.name.replace(".", "_"), udf)
+        batch.__annotations__ = {"cols": pd.Series, "return": pd.Series}
+        return spark.udf.register(self.name.replace(".", "_"), pandas_udf(batch, return_type))
 
 
 @dataclass
