@@ -57,6 +57,16 @@ def worker_cache(name: str, make):
     return store.value
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send whole texts to Python workers in batches of fewer rows, which bounds the memory of both sides.
+
+    The setting stays: plans read it when they are run, which may be after an operator returns.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def text_or_empty(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
