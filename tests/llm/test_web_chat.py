@@ -40,6 +40,28 @@ def test_html_without_article():
     assert html_extract.main_text(page) == ("Body text. " * 20).strip() + "\nMore."
 
 
+LONG = "A sentence of running text that goes on for some time, as they do. " * 3
+
+
+def test_html_by_length():
+    """Pages of unmarked boxes: the windowed lengths decide, and short lines between long ones stay."""
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "Sport", "Shop", "Contact"))
+    page = f"<body><div>{menu}</div><div><h2>Title</h2><p>{LONG}</p><p>Why?</p><p>Yes.</p><p>No.</p><p>So.</p><p>{LONG}</p><p>End.</p></div><div>{menu}</div><div>Terms</div></body>"
+    assert html_extract.main_text(page).split("\n") == ["Title", LONG.strip(), "Why?", "Yes.", "No.", "So.", LONG.strip(), "End."]
+    div = f"<body><div>{menu}</div><div>{LONG}</div><div>Short.</div><div>{LONG}</div><div>{menu}</div></body>"
+    assert html_extract.main_text(div).split("\n") == [LONG.strip(), "Short.", LONG.strip()]
+
+
+def test_html_priors():
+    """An article box yields to far longer text outside it, class words to a page that is all in such a box."""
+    teaser = f"<body><article><p>Teaser.</p></article><div><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert html_extract.main_text(teaser).count(LONG.strip()) == 2
+    boxed = f"<body><nav>Menu</nav><div class='widget'><p>{LONG}</p><p>More.</p></div></body>"
+    assert html_extract.main_text(boxed) == LONG.strip() + "\nMore."
+    listed = f"<body><article><p>{LONG}</p><ul>" + "<li>x</li>" * 9 + f"</ul></article><div>{LONG}</div></body>"
+    assert html_extract.main_text(listed).split("\n") == [LONG.strip(), *"x" * 9]
+
+
 def test_surges():
     assert html_extract.surges([0, 0, 5, 0, 5, 0, 0, 0, 7, 0], 2, 1) == [(2, 5), (8, 9)]
 

@@ -1,16 +1,18 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to lines (one per block element); each line's weight is the length of its text
-that isn't boilerplate by markup (menus, headers, footers, asides, forms, adverts, notices,
-comments, link lists). Weights are summed over sliding windows of lines; text starts where the sum
-surges from nothing and ends where it dives to nothing, and of the stretches between surge and dive
-those that hold article text are kept.
+Markup is stripped to lines (one per block element); each line's weight is the length of its text.
+Weights are summed over sliding windows of lines; text starts where the sum surges and ends where it
+dives, and all lines between the two are kept, short ones too. Markup is a prior: elements and class
+words of boilerplate (menus, headers, footers, asides, forms, adverts, notices, comments, link lists)
+take a line's weight, unless nearly all text of the page is in boxes of such classes; lines of an
+article weigh more, and those outside one nothing, unless most text is outside.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +30,17 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
 #: Elements that a missing end tag doesn't keep open past the start of another.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: Elements of running text, and those that don't make a box of their own for it.
+PROSE = {"p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dt", "dd"}
+LISTS = {"ul", "ol", "dl", "li", "dd", "blockquote"}
+#: Characters in a window of lines from which text starts and below which it ends, on a page with so many.
+SURGE, DIVE = 86, 43
+#: Weight that a line of an article has beyond its length, so that its lists and headings are no dive.
+BONUS = 43
+#: An article rules out the text outside it if that is at most so many times as long; classes mark
+#: boilerplate unless they mark more than so many times the other text.
+OUTSIDE, MARKED = 2, 16
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -36,7 +49,7 @@ SPACE = re.compile(r"\s+")
 
 
 def marked(attrs: str) -> bool:
-    """Whether class, id or role (or being hidden) says boilerplate."""
+    """Whether class, id or role says boilerplate."""
     if not attrs or attrs.isspace():
         return False
     for m in ATTR.finditer(attrs):
@@ -44,23 +57,36 @@ def marked(attrs: str) -> bool:
         words = WORDS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())
         if not MARKS.isdisjoint(words):
             return True
-    return bool(HIDDEN.search(attrs))
+    return False
+
 
+class Line(NamedTuple):
+    text: str
+    hard: bool  # boilerplate by element, or hidden
+    soft: bool  # boilerplate by class words, or links only outside an article
+    article: bool
+    name: str  # element
+    box: int  # what holds the element, lists aside
 
-def lines_of(page: str):
-    """(text, weight, in article) per line. Weight 0: boilerplate by markup, or links only outside an article."""
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article
+
+def lines_of(page: str) -> list[Line]:
+    out: list[Line] = []
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, boilerplate by element, by class, article, number
     parts: list[str] = []
-    state = [False, False]
+    state = [False, False, False]
     plain = in_link = False  # whether the line has text outside links; whether a link is open
+    opened = 0
 
     def end_line():
         nonlocal plain
         if parts:
             text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                out.append((text, 0 if state[0] or not (plain or state[1]) else len(text), state[1]))
+                held = [x for x in stack if x[0] in BLOCK]
+                name = held.pop()[0] if held else ""
+                while held and held[-1][0] in LISTS:
+                    held.pop()
+                out.append(Line(text, state[0], state[1] or not (plain or state[2]), state[2], name, held[-1][4] if held else 0))
             parts.clear()
         plain = False
 
@@ -70,8 +96,8 @@ def lines_of(page: str):
         plain = plain or not in_link and not part.isspace()
 
     def settle():
-        state[0] = any(x[1] for x in stack)
-        state[1] = any(x[2] for x in stack)
+        for k in range(3):
+            state[k] = any(x[k + 1] for x in stack)
 
     at, n = 0, len(page)
     while at < n:
@@ -117,23 +143,28 @@ def lines_of(page: str):
             continue
         article = name in ("article", "main")
         # An article's own header holds its title; the boxes of comments and adverts in it are boilerplate.
-        boiler = (name in BOILER and not (name == "header" and state[1])) or (name not in ("html", "body", "article", "main") and marked(m.group(3)))
-        if boiler or article or name in BLOCK:
+        hard = name in BOILER and not (name == "header" and state[2])
+        soft = False
+        if name not in ("html", "body", "article", "main"):
+            soft = marked(m.group(3))
+            hard = hard or bool(HIDDEN.search(m.group(3)))
+        if hard or soft or article or name in BLOCK:
             if name == "p" and any(x[0] == "p" for x in stack):
                 while stack and stack[-1][0] == "p":
                     stack.pop()
-            stack.append((name, boiler, article))
+            opened += 1
+            stack.append((name, hard, soft, article, opened))
             settle()
     end_line()
     return out
 
 
-def surges(weights: list[int], window: int, least: int) -> list[tuple[int, int]]:
+def surges(weights: list[int], window: int, least: int, dive: int = 1) -> list[tuple[int, int]]:
     """Stretches [a, b) of lines between a surge and a dive of the windowed sums of weights.
 
-    A sum covers a line and the ``window - 1`` lines after it. A stretch begins where the sum rises
-    to ``least`` and ends before the first line from which the sums fall to nothing; lines without
-    weight at either end of it are cut off.
+    A sum covers a line and the ``window - 1`` lines after it. A stretch holds a sum of ``least`` or
+    more, and reaches both ways as far as sums are ``dive`` or more; lines without weight at either
+    end of it are cut off.
     """
     n = len(weights)
     sums, run = [0] * n, 0
@@ -145,11 +176,11 @@ def surges(weights: list[int], window: int, least: int) -> list[tuple[int, int]]
         if sums[i] < least:
             i += 1
             continue
-        j = i
-        while j < n and sums[j] > 0:
-            j += 1
-        a, b = i, j
-        while a > 0 and weights[a - 1] > 0:
+        a = b = i
+        while b < n and sums[b] >= dive:
+            b += 1
+        i = b + 1
+        while a > 0 and sums[a - 1] >= dive:
             a -= 1
         while a < b and weights[a] == 0:
             a += 1
@@ -157,23 +188,67 @@ def surges(weights: list[int], window: int, least: int) -> list[tuple[int, int]]
             b -= 1
         if a < b:
             out.append((a, b))
-        i = j + 1
     return out
 
 
-def main_text(page: str | None, window: int = 3, least: int = 1) -> str:
-    """The main text: lines joined by one newline; empty for a null or empty page."""
+def weigh(lines: list[Line]) -> list[int]:
+    """Each line's weight: its length, by the priors that markup gives."""
+    sure = sum(len(x.text) for x in lines if not (x.hard or x.soft))
+    doubtful = sum(len(x.text) for x in lines if x.soft and not x.hard)
+    by_class = doubtful <= MARKED * sure
+    weights = [0 if x.hard or x.soft and by_class else len(x.text) for x in lines]
+    inside = sum(w for w, x in zip(weights, lines, strict=True) if x.article)
+    if inside and sum(weights) - inside <= OUTSIDE * inside:
+        return [w + BONUS if w and x.article else 0 for w, x in zip(weights, lines, strict=True)]
+    return weights
+
+
+def settled(lines: list[Line], weights: list[int], a: int, b: int, window: int, dive: int) -> tuple[int, int]:
+    """A stretch with exact ends.
+
+    Windows blur them by ``window - 1`` lines: short lines there belong to the text if they are
+    running text in the box of its first or last long line, or its title.
+    """
+    long = [i for i in range(a, b) if weights[i] >= dive]
+    if not long:
+        return a, b
+
+    def belongs(i, to):
+        return lines[i].name in PROSE and lines[i].box == lines[to].box
+
+    while a < long[0] and not (weights[a] and (belongs(a, long[0]) or lines[a].name == "h1")):
+        a += 1
+    b = max(long[-1] + 1, next((i + 1 for i in range(b - 1, long[-1], -1) if weights[i] and belongs(i, long[-1])), 0))
+    end = min(len(lines), b + window - 1)
+    while b < end and weights[b] and belongs(b, long[-1]):
+        b += 1
+    return a, b
+
+
+def main_text(page: str | None, window: int = 3, least: int = SURGE, dive: int = DIVE) -> str:
+    """The main text: lines joined by one newline; empty for a null or empty page.
+
+    On a page with no window of twice ``least`` characters the surge is half of its fullest window,
+    and the dive falls with it.
+    """
     if not page:
         return ""
     lines = lines_of(page)
-    # Where the page marks an article, text outside it is boilerplate by markup.
-    if any(w and a for _, w, a in lines):
-        lines = [(t, w if a else 0, a) for t, w, a in lines]
-    found = surges([w for _, w, _ in lines], window, least)
-    return "\n".join(lines[i][0] for a, b in found for i in range(a, b) if lines[i][1])
+    weights = weigh(lines)
+    fullest = max((sum(weights[i : i + window]) for i in range(len(weights))), default=0)
+    surge = max(1, min(least, fullest // 2))
+    dive = max(1, min(dive, dive * surge // max(1, least)))
+    kept: list[tuple[int, int]] = []
+    for a, b in surges(weights, window, surge, dive):
+        a, b = settled(lines, weights, a, b, window, dive)
+        # Short running text in the box of the text before and after it is no end of either.
+        if kept and all(not weights[i] or lines[i].name in PROSE and lines[i].box == lines[a].box for i in range(kept[-1][1] - 1, a)):
+            a = kept.pop()[0]
+        kept.append((a, b))
+    return "\n".join(lines[i].text for a, b in kept for i in range(a, b) if weights[i])
 
 
-def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", window: int = 3, least: int = 1) -> DataFrame:
+def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", window: int = 3, least: int = SURGE, dive: int = DIVE) -> DataFrame:
     """Main text of every row: id, url, text (empty if none), n_chars (code points).
 
     A null or empty page has an empty text; null ids and URLs pass through; repeated rows give
@@ -184,7 +259,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
 
     def run(batches):
         for b in batches:
-            texts = [main_text(x, window, least) for x in b.column(2).to_pylist()]
+            texts = [main_text(x, window, least, dive) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
     kind = src.schema["id"].dataType.simpleString()
