@@ -70,6 +70,23 @@ def test_lm_sums_to_one():
     assert abs(total - 1) < 1e-3
 
 
+def test_lm_whole_head_has_context(frame):
+    """Words beyond the commonest are told apart by what stands before them, also by two words only."""
+    ring = [f"{i}zz" for i in range(300)]  # one class by ending
+    rng = random.Random(5)
+    texts = []
+    for i in range(600):
+        at = rng.randrange(300)
+        texts.append((i, " ".join(ring[(at + k) % 300] for k in range(60))))
+    got = lm_score.score(frame(texts), F.lit(True)).agg(F.sum("score"), F.sum("n_tokens")).first()
+    assert got[0] / got[1] > -0.9
+    classes, members = lm_score.class_sizes(lm_score.HEAD)
+    assert (classes, members) == (512, 512)
+    codes, same = np.array([0, 0, 0, 5, 9, 0, 0, 0, 6, 9]), np.zeros(10, np.int32)
+    two = [r.tolist() for r in lm_score.contexts(codes, same, np.array([5, 10]))]
+    assert len(two) == 4 and two[0][0] == two[0][1] and two[1][0] != two[1][1]
+
+
 def test_lm_learns_across_tasks(frame, corpus, monkeypatch):
     """The averaged model of several tasks a round beats the unigram base."""
     monkeypatch.setattr(lm_score, "WORKER_TOKENS", 1000)
