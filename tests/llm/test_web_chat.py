@@ -140,6 +140,22 @@ def test_quotes(spark):
     assert sorted(map(repr, (tuple(r) for r in got.select(cols).collect()))) == sorted(map(repr, want))
 
 
+def test_partial_quotes(spark):
+    """Quotes of some lines, some paragraphs or some sentences of a message link to it."""
+    first = "One line here.\nTwo is next\nThree ends it.\n\nSecond paragraph, first sentence. And its\nlast one! Is it?\n\nThird paragraph."
+    rows = [
+        (1, 0, "user", first), (1, 1, "user", "Nothing of it."),
+        (1, 2, "user", "> Two is next\n> three ends it.\nLines."),
+        (1, 3, "user", "> Second paragraph, first sentence. And its\n> last one! Is it?\n>\n> Third paragraph.\nParagraphs."),
+        (1, 4, "user", "> And its last\n> one!\nA sentence, wrapped otherwise."),
+        (1, 5, "user", "> One line here.\n> Three ends it.\nNot consecutive."),
+        (2, 0, "user", "x"), (2, 100, "user", "> Two is next\n> Three ends it.\nAnother conversation."),
+    ]
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.reply_to) for r in chat.link_quotes(talk(spark, rows)).collect()}
+    assert [got[1, t] for t in (2, 3, 4, 5)] == [(1, 1, 0), (1, 1, 0), (1, 1, 0), (1, 0, 4)]
+    assert got[2, 100] == (1, 0, 0)
+
+
 def test_chats(spark):
     parts = chat.conversations(chat.link_quotes(talk(spark, TALK)))
     assert {(r.conv_id, r.part): r.n_messages for r in parts.collect()}[2, 0] == 1

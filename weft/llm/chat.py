@@ -1,8 +1,8 @@
 """Quotation linking for conversations, in DataFrame functions only.
 
 Quoted lines (``> ``, nested ``> > ``) are parsed to levels; runs of lines of one level are passages,
-whose normalised text is hashed and joined to the unquoted text (whole messages, paragraphs, lines)
-of earlier messages of the conversation. What remains is each message without its quotes, with the
+whose normalised text is hashed and joined to the unquoted text (whole messages, paragraphs, lines,
+and consecutive lines or sentences, as many as a passage of the conversation has) of earlier messages of the conversation. What remains is each message without its quotes, with the
 message that it replies to, in an order where replies come after what they answer.
 """
 
@@ -34,6 +34,21 @@ def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
+def full_lines(text: Column) -> Column:
+    """The normalised lines that aren't blank."""
+    return F.filter(F.transform(F.split(text, "\n"), normal), lambda x: x != "")
+
+
+def sentences(text: Column) -> Column:
+    """The normalised sentences, wherever lines break."""
+    return F.filter(F.split(normal(text), r"(?<=[.!?\u2026]) "), lambda x: x != "")
+
+
+def spans(pieces: Column, lengths: Column) -> Column:
+    """All runs of consecutive pieces, of each of the lengths."""
+    return F.flatten(F.transform(lengths, lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size(pieces) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(pieces, i, k), " "))))
+
+
 def unit_key(conv: Column, text: Column) -> Column:
     """One hash of the conversation and a normalised passage."""
     return F.md5(F.concat(F.coalesce(conv.cast("string"), F.lit("null")), F.lit("|"), text))
@@ -48,15 +63,31 @@ def quotes(messages: DataFrame) -> DataFrame:
     change = F.when(F.lag("level").over(message) == F.col("level"), 0).otherwise(1)
     runs = lines.withColumn("change", change).withColumn("run", F.sum("change").over(message)).filter("level > 0")
     passages = runs.groupBy("conv", "turn", "own", "run", "level").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))
-    passages = passages.withColumn("passage", normal(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"))).filter("passage <> ''")
-    return passages.select("conv", "turn", "own", "run", "level", "passage", unit_key(F.col("conv"), F.col("passage")).alias("key"))
+    passages = passages.withColumn("raw", F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).withColumn("passage", normal(F.col("raw"))).filter("passage <> ''")
+    sizes = [F.size(full_lines(F.col("raw"))).alias("n_lines"), F.size(sentences(F.col("raw"))).alias("n_sentences")]
+    return passages.select("conv", "turn", "own", "run", "level", "passage", unit_key(F.col("conv"), F.col("passage")).alias("key"), *sizes)
+
+
+def lengths(messages: DataFrame, quoted: DataFrame) -> DataFrame:
+    """(conv, part, by_line, by_sentence): the lengths of a conversation's passages, for each of its parts."""
+    found = quoted.groupBy("conv").agg(F.collect_set("n_lines").alias("by_line"), F.collect_set("n_sentences").alias("by_sentence"))
+    p, f = messages.select("conv", "part").distinct().alias("p"), found.alias("f")
+    return p.join(f, F.expr("p.conv <=> f.conv")).select("p.conv", "p.part", "f.by_line", "f.by_sentence")
 
 
-def originals(messages: DataFrame) -> DataFrame:
-    """(key, first): each normalised whole message, paragraph and line, and the first turn that has it."""
-    body = unquoted(F.col("text"))
-    units = F.array_distinct(F.transform(F.concat(F.array(body), F.split(body, r"\n[ \t]*\n"), F.split(body, "\n")), normal))
-    exploded = messages.select("conv", "turn", F.explode(units).alias("unit")).filter("unit <> ''")
+def originals(messages: DataFrame, quoted: DataFrame) -> DataFrame:
+    """(key, first): each normalised unit of a message that a passage may be, and the first turn that has it.
+
+    Units are the whole message, paragraphs, lines, and runs of consecutive lines (blank ones aside) or
+    sentences, of the lengths that the conversation's passages have.
+    """
+    cut = messages.withColumn("part", F.floor(F.col("turn") / PART))
+    m, n = cut.alias("m"), lengths(cut, quoted).alias("n")
+    cut = m.join(n, F.expr("m.conv <=> n.conv and m.part <=> n.part")).select("m.conv", "m.turn", unquoted(F.col("m.text")).alias("body"), "n.by_line", "n.by_sentence")
+    body = F.col("body")
+    units = F.transform(F.concat(F.array(body), F.split(body, r"\n[ \t]*\n"), F.split(body, "\n")), normal)
+    units = F.array_distinct(F.concat(units, spans(full_lines(body), F.col("by_line")), spans(sentences(body), F.col("by_sentence"))))
+    exploded = cut.select("conv", "turn", F.explode(units).alias("unit")).filter("unit <> ''")
     return exploded.select(unit_key(F.col("conv"), F.col("unit")).alias("key"), "turn").groupBy("key").agg(F.min("turn").alias("first"))
 
 
@@ -73,8 +104,8 @@ def before(messages: DataFrame) -> DataFrame:
 def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per message: conv_id, turn, role, text (without quotes), n_quotes, n_linked, reply_to, line.
 
-    A passage links to the first turn of its conversation whose unquoted whole text, a paragraph or a
-    line of it is the same after normalisation, if that turn is earlier. ``reply_to`` is the linked
+    A passage links to the first turn of its conversation whose unquoted whole text, a paragraph, or a
+    run of consecutive lines or sentences of it is the same after normalisation, if that turn is earlier. ``reply_to`` is the linked
     turn of the lowest quote level, of equal ones the latest; without linked quotes, the turn before
     (null for the first). Turns only reply to earlier ones, so turn order is reply order. ``line`` is
     the message as a chat line. Null texts are empty; null turns quote nothing and reply to nothing;
@@ -84,7 +115,7 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     src = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), text_or_empty(text_col).alias("text"))
     messages = src.withColumn("own", F.md5("text"))
     quoted = quotes(messages)
-    hits = quoted.join(originals(messages), "key", "left").withColumn("hit", F.when(F.col("first") < F.col("turn"), F.col("first")))
+    hits = quoted.join(originals(messages, quoted), "key", "left").withColumn("hit", F.when(F.col("first") < F.col("turn"), F.col("first")))
     best = F.min(F.when(F.col("hit").isNotNull(), F.struct("level", (-F.col("hit")).alias("back"))))
     found = hits.groupBy("conv", "turn", "own").agg(F.count("*").alias("n_quotes"), F.count("hit").alias("n_linked"), best.alias("best"))
     m, q, b = messages.alias("m"), found.alias("q"), before(messages).alias("b")
