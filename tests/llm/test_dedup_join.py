@@ -130,3 +130,61 @@ def test_components(spark):
     want = dict.fromkeys([1, 2, 3, 10, 11], 1) | {4: 4, 5: 4, 9: 9, 20: 20, 21: 20, 22: 20} | dict.fromkeys(range(100, 161), 100)
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+@pytest.mark.parametrize("local", [1 << 20, 0])
+def test_components_chain_and_hub(spark, local):
+    """Both ways: one task, and rounds over written tables."""
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(10_000)]
+    hub = [(50_000, 50_001 + i) for i in range(3_000)] + [(90_000, 60_000 + i) for i in range(3_000)]
+    loop = [(99_999, 99_999)]
+    edges = chain + hub + loop
+    rng.shuffle(edges)
+    got = components(spark.createDataFrame(edges, "u long, v long").repartition(5), local).collect()
+    assert len(got) == len({x for e in edges for x in e})
+    want = dict.fromkeys(range(10_001), 0) | {50_000 + i: 50_000 for i in range(3_001)} | {60_000 + i: 60_000 for i in range(3_000)} | {90_000: 60_000, 99_999: 99_999}
+    assert dict(got) == want
+
+
+def test_signatures_never_lose_a_common_key():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        pool = rng.integers(-(1 << 63), 1 << 63, 40) >> 30 << 30  # many have 16 bits in common
+        pool = np.unique(np.concatenate([pool, pool + 1, pool + 2]))
+        a, b = (np.sort(rng.choice(pool, 30, replace=False)) for _ in range(2))
+        x, y = (jaccard_join.signed(jaccard_join.signature(s)) for s in (a, b))
+        assert len(x) == len(y) == 30 and len(x & y) >= len(set(a) & set(b))
+
+
+def test_group_pairs_are_filtered():
+    """A shared shingle alone ties nothing: sizes and the number of shared shingles decide."""
+    import numpy as np
+
+    sig = lambda xs: np.asarray(xs, np.uint16).tobytes()
+    pairs = jaccard_join.Pairs(90, 100)  # with 100 shingles, 4 of a prefix must be shared
+    pairs.bucket([(100, 1, sig([1, 2, 3, 4, 5])), (100, 2, sig([1, 7, 8, 9])), (50, 3, sig([1, 2, 3, 4, 5])), (101, 4, sig([1, 2, 3, 4, 6]))])
+    assert pairs.edges() == [(4, 1)]
+
+
+@pytest.mark.parametrize("size", [4, 16])
+def test_long_prefixes_in_classes(frame, monkeypatch, size):
+    """Prefixes that are dealt to several classes, of sizes on both sides of a step."""
+    monkeypatch.setattr(jaccard_join, "CLASS", size)
+    rng = random.Random(size)
+    texts = [t for words in (60, 64, 70, 130, 260) for t in near_copies(rng, 12, words, words // 12)]
+    texts += [t.rsplit(" ", rng.randint(1, 6))[0] for t in texts[::3]]
+    rows = list(enumerate(texts))
+    got = jaccard_join.near_groups(frame(rows), 3, 90, 100).collect()
+    assert sorted(((r.id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_groups(rows, 3, 90, 100)
+
+
+def test_frequent_shingle_in_blocks(frame, monkeypatch):
+    """Groups of one shingle that are dealt to several blocks still all meet."""
+    monkeypatch.setattr(jaccard_join, "BUCKET", 3)
+    rng = random.Random(11)
+    rows = list(enumerate(near_copies(rng, 50, 40, 3)))
+    got = jaccard_join.near_groups(frame(rows), 3, 90, 100).collect()
+    assert sorted(((r.id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_groups(rows, 3, 90, 100)

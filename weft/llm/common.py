@@ -6,43 +6,83 @@ import sys
 import tempfile
 import types
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The white space of the contracts: [\x20\x09-\x0D].
 WS = " \t\n\x0b\x0c\r"
 
 
+#: Folders of written tables that are still there, oldest first.
+_folders: list[tuple[SparkSession, str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which driver and executors share.
 
-    The setting is only replaced (by a local temporary folder) where it is unset, as in tests.
+    Where that is unset and all tasks run in the driver's process (local mode, as in tests), a
+    temporary folder is taken; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="weft-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/weft-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.gettempdir()
+    folder = f"{root.rstrip('/')}/weft-{uuid.uuid4().hex}"
+    _folders.append((spark, folder))
+    return folder
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = shared_dir(spark)
+    df.write.parquet(f"{folder}/{name}")
+    out = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    out.__dict__["_weft_folder"] = folder
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_written(*dfs: DataFrame) -> None:
     """Delete tables made by :func:`written` once nothing reads them any more."""
     for df in dfs:
-        spark = df.sparkSession
-        files = df.inputFiles()
-        if files:
-            jvm = spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gone = df.__dict__.get("_weft_folder")
+        for own in [x for x in _folders if x[1] == gone]:
+            _delete(*own)
+            _folders.remove(own)
+
+
+@contextmanager
+def scratch():
+    """Deletes the tables written inside the block when it ends, but for those that are appended to the list it gives.
+
+    For callers that have stored an operator's result: the operators can't tell when it has been read.
+    """
+    before, kept = len(_folders), []
+    try:
+        yield kept
+    finally:
+        names = {df.__dict__.get("_weft_folder") for df in kept}
+        for own in _folders[before:]:
+            if own[1] not in names:
+                _delete(*own)
+                _folders.remove(own)
+
+
+def fresh(name: str, *dfs: DataFrame) -> str:
+    """``name``, or one made of it that no column of the tables has, in any case of letters."""
+    used = {c.lower() for df in dfs for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
 def worker_cache(name: str, make):
@@ -58,15 +98,19 @@ def worker_cache(name: str, make):
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Send whole texts to Python workers in batches of fewer rows, which bounds the memory of both sides.
-
-    The setting stays: plans read it when they are run, which may be after an operator returns.
-    """
+    """Send whole texts to Python workers in batches of fewer rows."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, rows)
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches in runs of at most ``rows`` rows, which bounds what a worker holds as Python objects."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def text_or_empty(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -78,3 +122,9 @@ def fold(doc_id: Column, k: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def one_of_each(rows: DataFrame, key: str, *order) -> DataFrame:
+    """One row of each value of ``key``, the first in order; after a join on it no further shuffle is needed."""
+    n = fresh("copy", rows)
+    return rows.withColumn(n, F.row_number().over(Window.partitionBy(F.col(key)).orderBy(*(order or [F.lit(1)])))).filter(F.col(n) == 1)

@@ -4,14 +4,16 @@ A document is the set of its hashed word shingles; two link when their Jaccard s
 num/den. With n shingles, slack s(n) = floor(n * (1 - num/den)) and l(n) = floor(s(n)/3) + 1:
 
 * Linked documents share at least l of the first s + l shingles of each (in hash order), l being that
-  of the smaller one. These windows are all that is counted and joined.
-* In a window, the shingles are put in order of rising frequency; of linked documents the first
-  |window| - l(least partner size) + 1 share at least one. That is the prefix. Shingles of a single
-  document fill its prefix first, so a document without near copies mostly has nothing to join.
-
-Documents with equal sets are one node; nodes with the same joinable prefix and size are one group.
-Groups that share a prefix shingle, in neighbouring bands of size, are tied; a tied component is
-expanded into its nodes, in blocks, and all pairs of blocks are verified over whole sets.
+  of the smaller one. These windows are the prefixes; of them only shingles that several sets have count.
+* Documents with equal sets are one node; nodes with the same prefix and size are one group.
+* A group is found by the rarest shingles of its prefix: all but l(least partner size) - 1 of them, of
+  which linked documents share at least one (a long prefix is dealt to classes, each with its share of
+  l). Documents without near copies mostly have nothing to join.
+
+Pairs of groups that meet at a shingle are filtered by their sizes and by how many shingles their
+prefixes share. The pairs that pass aren't sent on one by one: each task keeps a forest of them, whose
+components hold every pair that passes. Components are expanded to their nodes, in blocks, and all
+pairs of blocks are verified over whole sets.
 """
 
 from __future__ import annotations
@@ -23,13 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import drop_written, text_or_empty, worker_cache, written
+from weft.llm.common import drop_written, fresh, one_of_each, text_or_empty, worker_cache, written
 from weft.llm.components import components
 
 #: Words whose hashes a worker keeps.
 CACHED_WORDS = 400_000
 #: Nodes in a block; two blocks meet in a task.
 BLOCK = 512
+#: Keys in a class of a long prefix, about, at most.
+CLASS = 128
+#: Groups of one shingle that meet in one task; more are dealt to blocks of this size, of which two meet.
+BUCKET = 1024
 #: Sets that are broadcast when documents are led to their node: those with the most copies.
 HOT_SETS = 1000
 #: Slots of the sieve that keeps texts without candidates out of the shuffle.
@@ -126,6 +132,150 @@ def roots(linked):
         lab = new
 
 
+def signature(keys) -> bytes:
+    """16 bits of each 64-bit key, in order."""
+    import numpy as np
+
+    return np.sort((keys.view(np.uint64) >> np.uint64(48)).astype(np.uint16)).tobytes()
+
+
+def signed(signature: bytes) -> frozenset[int]:
+    """A signature as a set: each 16 bits with how often they have come before, so no key that two lists share is lost."""
+    import numpy as np
+
+    x = np.frombuffer(signature, np.uint16).astype(np.int64)
+    at = np.arange(len(x))
+    first = np.maximum.accumulate(np.where(np.concatenate(([True], x[1:] != x[:-1])), at, 0))
+    return frozenset((x << 16 | at - first).tolist())
+
+
+def lane(r: int, a: int, b: int) -> int:
+    """Classes and blocks of a probe as one number."""
+    return r.bit_length() << 56 | a << 28 | b
+
+
+def classes(n: int, num: int, den: int) -> int:
+    """Classes (by the low bits of a key) that the prefixes of sets of n shingles are dealt to: 128 keys a class, about, at most."""
+    w = window_size(n, num, den)
+    return 1 << ((w - 1) // CLASS).bit_length()
+
+
+def probes(num: int, den: int, rows_out: int = 20_000):
+    """A function for mapInArrow over groups (g, n, keys, counts): rows (key, lane, g, n, sig).
+
+    A long prefix is dealt to ``r`` classes: of sets that share l keys some class shares ceil(l / r), and
+    so one of the rarest keys of that class, all but that many less one. A row has the signature of
+    its key's class alone. Sizes near a step of :func:`classes` take both numbers of classes. At a
+    frequent key there is a row for each block that the group's block meets.
+    """
+
+    def run(batches):
+        import numpy as np
+
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+
+        def out(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "lane", "g", "n", "sig"])
+
+        rows = []
+        for batch in batches:
+            lists, counts = batch.column(2), np.asarray(batch.column(3).flatten())
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths())]).astype(np.int64)
+            keys = np.asarray(lists.flatten())
+            for i, (g, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                own, often = keys[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]]
+                least = -(-num * n // den)
+                for r in {classes(least, num, den), classes(n, num, den), classes(n * den // num, num, den)}:
+                    part = own.view(np.uint64) % np.uint64(r)
+                    shared = -(-shared_least(least, num, den) // r)
+                    for c in range(r) if r > 1 else (0,):
+                        at = np.flatnonzero(part == c)
+                        if len(at) < shared:
+                            continue
+                        sig = signature(own[at])
+                        for j in at[: len(at) - shared + 1].tolist():
+                            parts = -(-int(often[j]) // BUCKET)
+                            h = (g * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) % parts
+                            rows += [(int(own[j]), lane(r, min(h, o), max(h, o)), g, n, sig) for o in range(parts)]
+                    if len(rows) >= rows_out:
+                        yield out(rows)
+                        rows = []
+        if rows:
+            yield out(rows)
+
+    return run
+
+
+class Pairs:
+    """Filters pairs of groups and keeps the forest of those that pass."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den, self.up = num, den, {}
+
+    def root(self, x):
+        up = self.up
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y]
+            x = y
+        return x
+
+    def bucket(self, rows, r: int = 1):
+        """Groups (n, g, sig) that meet at one key: any that aren't tied yet are compared, unless their sizes are too far apart."""
+        if len(rows) == 1:
+            return
+        sets: dict = {}
+
+        def set_of(g, sig):
+            got = sets.get(g)
+            if got is None:
+                got = sets[g] = signed(sig)
+            return got
+
+        left = sorted({g: (n, g, sig) for n, g, sig in rows}.values())
+        while left:
+            todo = [left.pop()]
+            while todo and left:
+                n, g, sig = todo.pop()
+                mine, rest = self.root(g), []
+                for other in left:
+                    m, there = other[0], self.root(other[1])
+                    if there != mine:
+                        lo, hi = (m, n) if m < n else (n, m)
+                        if self.den * lo < self.num * hi or len(set_of(g, sig) & set_of(other[1], other[2])) < -(-shared_least(lo, self.num, self.den) // r):
+                            rest.append(other)
+                            continue
+                        mine, there = min(mine, there), max(mine, there)
+                        self.up[there] = mine
+                    todo.append(other)
+                left = rest
+
+    def edges(self):
+        return [(x, r) for x in list(self.up) if (r := self.root(x)) != x]
+
+
+def ties(num: int, den: int):
+    """A function for mapInArrow over probes in order of (key, lane): a forest (u, v) of the pairs of groups that pass the filters."""
+
+    def run(batches):
+        pairs, at, held = Pairs(num, den), None, []
+
+        def meet():
+            if held:
+                pairs.bucket(held, 1 << (at[1] >> 56) - 1)
+
+        for batch in batches:
+            for key, where, g, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != (key, where):
+                    meet()
+                    at, held = (key, where), []
+                held.append((n, g, sig))
+        meet()
+        if found := pairs.edges():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["u", "v"])
+
+    return run
+
+
 def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, xh (xxhash64 of the text), n_shingles, component_id, n_links, kept.
 
@@ -137,7 +287,6 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
     gives an empty result. Only the two named columns are read, whole. Words are lower-cased (A-Z) and
     parted by [\\x20\\x09-\\x0D].
     """
-    spark = df.sparkSession
     text = text_or_empty(text_col)
     src = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("xh"), text.alias("text"))
 
@@ -160,63 +309,56 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
 
     sets = written(src.mapInArrow(windows, "id long, xh long, n long, d1 long, d2 long, win array<bigint>"), "sets")
     docs = written(sets.select("id", "xh", "n", "d1", "d2"), "docs")
-    first = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("min_id"), F.min(F.struct("id", "xh")).alias("rep"), F.count("*").alias("copies"), F.first("win").alias("win"))
-    nodes = written(first.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # A null id comes last: it stays only in a component without ids.
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "xh")).alias("lead")
+    first = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(lead, F.count("*").alias("copies"), F.first("win").alias("win"))
+    whole = written(first.withColumn("node", F.monotonically_increasing_id()), "whole")
+    nodes = written(whole.drop("win"), "nodes")
     drop_written(sets)
 
-    # Window shingles that several nodes have, and how many nodes.
-    entries = nodes.select("node", F.explode("win").alias("key"))
+    # The prefix of a node: the shingles of its window that several nodes have, the rarest first.
+    entries = whole.select("node", "n", F.explode("win").alias("key"))
     often = entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    met = entries.join(often, "key")
-    s = f"(n - ceil({num} * n / {den}))"
+    prefix = entries.join(often, "key").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("c", "key"))).alias("seen"))
+    # m is l of the least partner size.
     m = f"(floor((ceil({num} * n / {den}) - ceil({num} * ceil({num} * n / {den}) / {den})) / 3) + 1)"
-    wsize = f"least(n, {s} + floor({s} / 3) + 1)"
-    by_node = Window.partitionBy("node")
-    ranked = met.withColumn("rank", F.row_number().over(by_node.orderBy("c", "key"))).withColumn("seen", F.count("*").over(by_node))
-    ranked = ranked.join(nodes.select("node", "n"), "node")
-    # Single-node shingles come first: they use up the prefix by (window - seen).
-    prefix = ranked.filter(F.expr(f"rank <= {wsize} - {m} + 1 - ({wsize} - seen)"))
-    prefixes = prefix.groupBy("node", "n").agg(F.sort_array(F.collect_list("key")).alias("prefix"))
-    prefixes = written(prefixes, "prefixes")
-    slim = written(nodes.drop("win"), "slim")
-    drop_written(nodes)
-    nodes = slim
-
-    # Groups: one prefix and size; then ties between groups that share a shingle, by bands of size.
-    groups = written(prefixes.groupBy("n", "prefix").agg(F.min("node").alias("g"), F.count("*").alias("members")), "groups")
+    prefix = prefix.filter(F.expr(f"size(seen) >= {m}")).withColumn("name", F.md5(F.concat_ws(",", F.col("n").cast("string"), F.transform("seen", lambda x: x["key"].cast("string")))))
+    prefix = written(prefix, "prefixes")
+    drop_written(whole)
+
+    # Groups, and the forest of the pairs of groups that pass.
+    groups = prefix.groupBy("name").agg(F.min("node").alias("g"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("seen").alias("seen"))
+    groups = written(groups, "groups")
+    listed = groups.select("g", "n", F.transform("seen", lambda x: x["key"]).alias("keys"), F.transform("seen", lambda x: x["c"]).alias("counts"))
+    met = listed.mapInArrow(probes(num, den), "key long, lane long, g long, n long, sig binary").repartition("key", "lane").sortWithinPartitions("key", "lane")
+    tied = components(met.mapInArrow(ties(num, den), "u long, v long"))
+
+    # Groups of a component, or of several nodes, are expanded to their nodes; large components to blocks within bands of size.
     base = math.log(den / num) * (1 + 1e-9) if num < den else 1.0
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(base)) if num < den else F.col("n")
-    slots = groups.select("g", band.alias("band"), F.explode("prefix").alias("key")).select("g", "key", F.explode(F.array("band", F.col("band") + 1)).alias("slot"))
-    centres = slots.groupBy("key", "slot").agg(F.min("g").alias("v"), F.count("*").alias("c")).filter("c > 1").select("key", "slot", "v")
-    ties = slots.join(centres, ["key", "slot"]).filter("g <> v").select(F.col("g").alias("u"), "v")
-    lone = groups.filter("members > 1").select(F.col("g").alias("u"), F.col("g").alias("v"))
-    tied = written(components(ties.unionByName(lone)), "tied")
-
-    # Expand groups to nodes, and large components to blocks within bands of size.
-    member = prefixes.select("node", "n", "prefix").join(groups.select("n", "prefix", "g"), ["n", "prefix"]).select("node", "n", "g")
-    cand = member.join(tied.select(F.col("node").alias("g"), F.col("root").alias("comp")), "g").select("node", "n", "comp")
-    cand = written(cand.withColumn("band", band.cast("long")), "cand")
-    total = cand.groupBy("comp").agg(F.count("*").alias("total"))
-    cand1 = cand.join(total, "comp").withColumn("large", F.expr(f"total > {BLOCK}"))
-    small = cand1.filter("not large").select("node", "comp", F.lit(None).cast("string").alias("task"), F.lit(0).alias("side"))
-    big = cand1.filter("large").select("node", "comp", "band")
-    parts = big.groupBy("comp", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    nearby = parts.select("comp", F.col("band").alias("b"), "parts")
+    own = groups.join(tied.withColumnRenamed("node", "g"), "g", "left").filter("root is not null or members > 1")
+    own = written(own.select("name", F.coalesce("root", "g").alias("comp")), "open")
+    cand = prefix.select("node", "name").join(own, "name").join(nodes.select("node", "n", "copies", F.col("lead.id").alias("r_id"), F.col("lead.xh").alias("r_xh")), "node")
+    cand = written(cand.select("node", "n", "copies", "r_id", "r_xh", "comp", band.cast("long").alias("band")), "cand")
+    drop_written(prefix, groups)
+    sizes = cand.groupBy("comp", "band").agg(F.count("*").alias("members"))
+    parts = sizes.withColumn("total", F.sum("members").over(Window.partitionBy("comp"))).filter(f"total > {BLOCK}")
+    parts = written(parts.select("comp", "band", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts")), "parts")
+    cand1 = cand.join(parts, ["comp", "band"], "left")
+    small = cand1.filter("parts is null").select("node", "n", "copies", "r_id", "r_xh", "comp", F.lit(None).cast("string").alias("task"), F.lit(0).alias("side"))
     # A node of block (band, h) meets the blocks of its own band and of both neighbours.
-    spread = big.join(parts, ["comp", "band"]).withColumn("h", F.expr("int(pmod(xxhash64(node), parts))")).select("node", "comp", "band", "h")
+    spread = cand1.filter("parts is not null").withColumn("h", F.expr("int(pmod(xxhash64(node), parts))")).drop("parts")
+    nearby = parts.select("comp", F.col("band").alias("b"), "parts")
     step = spread.withColumn("b", F.explode(F.expr("array(band - 1, band, band + 1)"))).join(nearby, ["comp", "b"])
     step = step.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("lower", F.expr("b > band or (b = band and o >= h)"))
     pair = F.when(F.col("lower"), F.concat_ws(":", "band", "h", "b", "o")).otherwise(F.concat_ws(":", "b", "o", "band", "h"))
-    wide = step.select("node", "comp", pair.alias("task"), F.when(F.expr("b = band and o = h"), 2).when(F.col("lower"), 0).otherwise(1).alias("side"))
-    plan = small.unionByName(wide)
+    wide = step.select("node", "n", "copies", "r_id", "r_xh", "comp", pair.alias("task"), F.when(F.expr("b = band and o = h"), 2).when(F.col("lower"), 0).otherwise(1).alias("side"))
 
     # Texts of the nodes that are candidates.
-    need = written(cand.select("node").join(nodes.select("node", "n", "copies", F.col("rep.id").alias("r_id"), F.col("rep.xh").alias("r_xh")), "node"), "need")
     slot = lambda c: F.pmod(c, F.lit(SIEVE)).cast("int")
-    sieve = need.select(slot(F.col("r_xh")).alias("slot")).distinct()  # at most SIEVE rows
+    sieve = cand.select(slot(F.col("r_xh")).alias("slot")).distinct()  # at most SIEVE rows
     got = src.withColumn("slot", slot(F.col("xh"))).join(F.broadcast(sieve), "slot", "left_semi").drop("slot")
-    got = got.join(need, F.expr("id <=> r_id and xh = r_xh")).select("node", "n", "copies", "text")
-    work = got.join(plan, "node").select("comp", "task", "side", "node", "n", "copies", "text")
+    work = got.join(small.unionByName(wide), F.expr("id <=> r_id and xh = r_xh")).select("comp", "task", "side", "node", "n", "copies", "text")
 
     def verify(key, t):
         import numpy as np
@@ -244,36 +386,36 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
     parted = found.filter("part").select(F.col("node").alias("u"), F.col("root").alias("v"))
     if not parted.isEmpty():
         root_of = root_of.unionByName(components(parted))
-    placed = nodes.select("node", "d1", "d2", "n", "min_id", "copies", F.struct(F.col("rep.id").isNull().alias("none"), F.col("rep.id").alias("id"), F.col("rep.xh").alias("xh")).alias("r")).join(root_of, "node", "left").join(n_links, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # A null id comes last: it stays only in a component without ids.
-    heads = nodes_heads(docs, placed)
+    # Linked nodes take the least id and the kept row of their component; the tops are written, so that this join can be split.
+    linked = written(root_of.join(n_links, "node").join(nodes.select("node", "d1", "d2", "n", "copies", "lead"), "node"), "linked")
+    tops = written(linked.groupBy("root").agg(F.min("lead").alias("top")), "tops")
+    near = linked.join(tops, "root").select("d1", "d2", "n", "copies", "top", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    far = nodes.join(linked.select("node"), "node", "left_anti").select("d1", "d2", "n", "copies", F.col("lead").alias("top"), (F.col("copies") - 1).alias("n_links"))
+    heads = written(near.unionByName(far), "heads")
+    drop_written(cand, found, nodes, linked, tops, parts, own)
     return led(docs, heads)
 
 
-def nodes_heads(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """Per node: its component's least id, the row of it that is kept, and the links of its rows."""
-    lead = docs.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "xh")).alias("lead"))
-    flat = written(placed.drop("r").join(lead, ["d1", "d2", "n"]), "placed")
-    tops = flat.groupBy("root").agg(F.min("min_id").alias("component_id"), F.min("lead").alias("top"))
-    return written(flat.join(tops, "root").select("d1", "d2", "n", "copies", "component_id", "top", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "heads")
-
-
 def led(docs: DataFrame, heads: DataFrame) -> DataFrame:
     """Each document with its node's row. The sets with the most copies are broadcast, the others joined."""
-    keys, more = ["d1", "d2", "n"], ["component_id", "top", "n_links"]
+    keys, more = ["d1", "d2", "n"], ["top", "n_links"]
     hot = written(heads.filter("copies > 32").orderBy(F.desc("copies"), "d1").limit(HOT_SETS).select(*keys, *more), "hot")
     near = docs.filter("n > 0").join(F.broadcast(hot), keys, "left")
     cold = heads.join(F.broadcast(hot.select(*keys)), keys, "left_anti").select(*keys, *more)
     far = near.filter("n_links is null").select("id", "xh", *keys).join(cold, keys)
-    names = ["id", "xh", F.col("n").alias("n_shingles"), "component_id", "n_links", F.expr("id <=> top.id and xh = top.xh").alias("kept")]
+    names = ["id", "xh", F.col("n").alias("n_shingles"), F.col("top.id").alias("component_id"), "n_links", F.expr("id <=> top.id and xh = top.xh").alias("kept")]
     lone = docs.filter("n = 0").select("id", "xh", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
     return near.filter("n_links is not null").select(*names).unionByName(far.select(*names)).unionByName(lone)
 
 
 def keep_one(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, that stay when one of each component does. Of repeated rows one stays."""
-    kept = written(near_groups(df, k, num, den, id_col, text_col).filter("kept").select(F.col("id").alias("k_id"), F.col("xh").alias("k_xh")).distinct(), "kept")
-    rows = df.withColumn("k_row", F.xxhash64(text_or_empty(text_col)))
-    met = rows.join(kept, F.expr(f"`{id_col}` <=> k_id and k_row = k_xh"))
-    n = F.row_number().over(Window.partitionBy(F.col(id_col), F.col("k_row")).orderBy(F.lit(1)))
-    return met.withColumn("k_n", n).filter("k_n = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The rows of ``df``, all columns, that stay when one of each component does. Of repeated rows one stays.
+
+    Texts are shuffled once, by a key of id and text; columns of ``df`` may have any names.
+    """
+    row_key = lambda i, x: F.md5(F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("null")), x.cast("string")))
+    found = near_groups(df, k, num, den, id_col, text_col).filter("kept")
+    key = fresh("near_key", df)
+    kept = written(found.select(row_key(F.col("id"), F.col("xh")).alias(key)).distinct(), "kept")
+    rows = df.withColumn(key, row_key(F.col(f"`{id_col}`").cast("long"), F.xxhash64(text_or_empty(F.col(f"`{text_col}`")))))
+    return one_of_each(rows.join(kept, key), key).select(*[F.col(f"`{c}`") for c in df.columns])
