@@ -9,19 +9,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import drop_written, shared_dir, text_or_empty, written
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 20
+#: Tasks that read archives, at most.
+READERS = 100_000
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -60,8 +63,8 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     """Write one record per row; returns a table of archives (path, bytes, records), written before it returns.
 
     Among rows with equal payloads (SHA-1) of at least ``min_bytes`` bytes, that of the smallest id
-    is a response (all its repetitions too) and the others are revisits that name it; shorter ones
-    are all responses. A null payload is empty; a null URL is an empty target; a row with a null id
+    is a response and the others are revisits that name it, repetitions of its own id among them;
+    shorter ones are all responses. A null payload is empty; a null URL is an empty target; a row with a null id
     can only be a response if no equal payload has an id. An empty table gives no archives. Only the
     three named columns are read. A task writes an archive of its own name, so that a repeated task
     leaves an unlisted file, never a doubled record.
@@ -77,8 +80,14 @@ def write_warc(df: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     cold = first.join(hot.select("sha"), "sha", "left_anti").select("sha", "first")
     near = hashed.join(F.broadcast(hot.withColumnRenamed("first", "h")), "sha", "left")
     refs = near.filter("h is not null").select("id", "sha", F.col("h").alias("first")).unionByName(near.filter("h is null").select("id", "sha").join(cold, "sha").select("id", "sha", "first"))
-    refs = written(refs.filter("not (id <=> first)").groupBy("id", "sha").agg(F.min("first").alias("first")), "refs")
-    rows = src.withColumn("sha", F.sha1("body")).alias("s").join(refs.alias("r"), F.expr("s.id <=> r.id and s.sha = r.sha"), "left").select("s.id", "s.url", "s.body", F.col("r.first").alias("first"))
+    refs = refs.groupBy("id", "sha").agg(F.min("first").alias("first"), F.count("*").alias("n")).filter("not (id <=> first) or n > 1")
+    refs = written(refs, "refs")
+    rows = src.withColumn("sha", F.sha1("body")).alias("s").join(refs.alias("r"), F.expr("s.id <=> r.id and s.sha = r.sha"), "left").select("s.id", "s.url", "s.body", "s.sha", F.col("r.first").alias("first"))
+    if not refs.filter("id = first").isEmpty():
+        # Repeated rows of a response's own id: one of them is the response.
+        again = rows.filter("id = first").withColumn("k", F.row_number().over(Window.partitionBy("id", "sha").orderBy("url")))
+        rows = rows.filter("first is null or id is null or id <> first").unionByName(again.withColumn("first", F.when(F.col("k") > 1, F.col("first"))).drop("k"))
+    rows = rows.drop("sha")
 
     def write(batches):
         fs = out = path = None
@@ -138,12 +147,17 @@ def member_at(f, start: int, size: int):
     for line in top.decode("utf-8", "replace").split("\r\n")[1:]:
         k, _, v = line.partition(":")
         fields[k.strip().lower()] = v.strip()
-    n = int(fields.get("content-length", -1))
-    return (fields, block[:n], at) if 0 <= n <= len(block) else None
+    n = number(fields.get("content-length"))
+    return (fields, block[:n], at) if n is not None and 0 <= n <= len(block) else None
+
+
+def number(text: str | None) -> int | None:
+    """A header's number that fits 64 bits; null for anything else."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}", text) else None
 
 
 def records_in(f, size: int, lo: int, hi: int):
-    """Records whose members start in [lo, hi): found by magic, checked by decoding, then chained."""
+    """(start, fields, block, end) of records whose members start in [lo, hi): found by magic, checked by decoding, then chained."""
     at, buf, base = lo, b"", lo
     while at < hi:
         if not (base <= at and at + 3 <= base + len(buf)):
@@ -164,7 +178,7 @@ def records_in(f, size: int, lo: int, hi: int):
         if got is None:
             at += 1
             continue
-        yield at, got[0], got[1]
+        yield at, got[0], got[1], got[2]
         at = got[2]
 
 
@@ -172,24 +186,39 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = 8 << 20)
     """Read archives (a table with path and bytes) by byte ranges of ``split_bytes``.
 
     Returns one row per record: path, offset, record_type, url, page_id, refers_to, payload_digest
-    (bare), payload_length (of the full payload, by the header), payload (null for revisits). Bytes
-    between members, or that only look like members, are passed over. Ranges never meet a record
-    twice: a record belongs to the range in which its member starts. No archives give no rows.
+    (bare, by the header), payload_length (of the full payload, by the header), payload (null for
+    revisits) and payload_sha1 (of the payload read, bare). Header numbers that aren't numbers are null.
+    Bytes between members, members whose length is no number, and bytes that only look like members
+    are passed over. A record belongs to the range in which its member starts. A payload may itself
+    hold members, even in plain bytes: a first pass finds where each range's last member ends, and a
+    range is read from the farthest end before it, so what lies inside a member is no record. No
+    archives give no rows.
     """
-    ranges = files.select("path", F.col("bytes").alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("lo"))
-    ranges = ranges.repartition("path", "lo")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
+    ranges = files.select("path", F.col("bytes").alias("size"), F.explode(starts).alias("lo"))
+    # So many tasks, dealt out evenly: the rows say little of the bytes behind them.
+    n = files.agg(F.sum(F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / split_bytes))).first()[0]
+    n = max(1, min(READERS, int(n or 1)))
 
-    def read(batches):
+    def ends(batches):
         for b in batches:
+            out = []
             for path, size, lo in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                fs, name = filesystem(path)
+                with fs.open_input_file(name) as f:
+                    out.append(max((end for *_, end in records_in(f, size, lo, min(lo + split_bytes, size))), default=0))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], ["path", "size", "lo", "last"])
+
+    def read(batches):
+        for b in batches:
+            for path, size, lo, after in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 fs, name = filesystem(path)
                 rows, held = [], 0
                 with fs.open_input_file(name) as f:
-                    for at, h, block in records_in(f, size, lo, min(lo + split_bytes, size)):
+                    for at, h, block, _ in records_in(f, size, max(lo, after or 0), min(lo + split_bytes, size)):
                         kind = h.get("warc-type", "")
                         payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
-                        page, ref = h.get("warc-page-id", ""), h.get("warc-refers-to-page-id", "")
-                        rows.append((path, at, kind, h.get("warc-target-uri", ""), int(page) if page else None, int(ref) if ref else None, h.get("warc-payload-digest", "").removeprefix("sha1:"), int(h.get("warc-payload-length", 0)), payload))
+                        rows.append((path, at, kind, h.get("warc-target-uri", ""), number(h.get("warc-page-id")), number(h.get("warc-refers-to-page-id")), h.get("warc-payload-digest", "").removeprefix("sha1:"), number(h.get("warc-payload-length")), payload, None if payload is None else digest(payload)))
                         held += len(block)
                         if held > 4 << 20:
                             yield _batch(rows)
@@ -197,12 +226,15 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = 8 << 20)
                 if rows:
                     yield _batch(rows)
 
-    return ranges.mapInArrow(read, "path string, offset long, record_type string, url string, page_id long, refers_to long, payload_digest string, payload_length long, payload binary")
+    found = written(ranges.repartition(n).mapInArrow(ends, "path string, size long, lo long, last long"), "ends")
+    before = Window.partitionBy("path").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = found.select("path", "size", "lo", F.max("last").over(before).alias("after"))
+    return ranges.repartition(n).mapInArrow(read, "path string, offset long, record_type string, url string, page_id long, refers_to long, payload_digest string, payload_length long, payload binary, payload_sha1 string")
 
 
 def _batch(rows):
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-    names = ["path", "offset", "record_type", "url", "page_id", "refers_to", "payload_digest", "payload_length", "payload"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string()]
+    names = ["path", "offset", "record_type", "url", "page_id", "refers_to", "payload_digest", "payload_length", "payload", "payload_sha1"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -213,11 +245,5 @@ def round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     its header (its payload is the response's). Nulls, empty and repeated rows: see write_warc.
     """
     back = read_warc(df.sparkSession, write_warc(df, id_col, url_col, body_col))
-    full = F.col("payload").isNotNull()
-
-    @F.pandas_udf("string")
-    def b32(col):
-        return col.map(lambda x: None if x is None else base64.b32encode(x).decode())
-
-    sha = b32(F.unhex(F.sha1("payload")))
-    return back.select(F.col("page_id").alias(id_col), F.when(full, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"), F.when(full, sha).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
+    size = F.coalesce(F.octet_length("payload").cast("long"), "payload_length")
+    return back.select(F.col("page_id").alias(id_col), size.alias("payload_bytes"), F.coalesce("payload_sha1", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
