@@ -2,8 +2,9 @@
 
 Quoted lines (``> ``, nested ``> > ``) are parsed to levels; runs of lines of one level are passages,
 whose normalised text is hashed and joined to the unquoted text (whole messages, paragraphs, lines,
-and consecutive lines or sentences, as many as a passage of the conversation has) of earlier messages of the conversation. What remains is each message without its quotes, with the
-message that it replies to, in an order where replies come after what they answer.
+and consecutive lines or sentences, as many as a passage of the conversation has) of earlier messages
+of the conversation. What remains is each message without its quotes, with the message that it
+replies to and its place in the conversation, where a message is followed by all replies to it.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weft.llm.common import text_or_empty
+from weft.llm.common import text_or_empty, written
 
 #: A quoted line's mark.
 MARK = r"^[ \t]{0,3}(>[ \t]?)+"
-#: Turns in one part of a conversation; windows never span more of one than this, or one row a part.
+#: Turns in one part of a conversation; windows over messages never span more of one than this.
 PART = 64
 
 
@@ -91,26 +92,79 @@ def originals(messages: DataFrame, quoted: DataFrame) -> DataFrame:
     return exploded.select(unit_key(F.col("conv"), F.col("unit")).alias("key"), "turn").groupBy("key").agg(F.min("turn").alias("first"))
 
 
-def before(messages: DataFrame) -> DataFrame:
-    """(conv, turn, previous): the greatest earlier turn, by parts, so that a long conversation isn't one window."""
-    turns = messages.select("conv", "turn").filter("turn is not null").distinct().withColumn("part", F.floor(F.col("turn") / PART))
-    inside = F.lag("turn").over(Window.partitionBy("conv", "part").orderBy("turn"))
-    parts = turns.groupBy("conv", "part").agg(F.max("turn").alias("last"))
-    earlier = parts.select("conv", "part", F.lag("last").over(Window.partitionBy("conv").orderBy("part")).alias("earlier"))
-    t, p = turns.withColumn("inside", inside).alias("t"), earlier.alias("p")
-    return t.join(p, F.expr("t.conv <=> p.conv and t.part = p.part")).select("t.conv", "t.turn", F.coalesce("t.inside", "p.earlier").alias("previous"))
+def conv_key(conv: Column) -> Column:
+    """A text that is never null, other than that of any conversation for a null one."""
+    return F.coalesce(F.concat(F.lit("="), conv.cast("string")), F.lit(""))
+
+
+def turns(messages: DataFrame, links: DataFrame) -> DataFrame:
+    """(c, turn, seq, previous, link, run): each turn of a conversation, numbered from 1.
+
+    ``run`` is the number of the last turn so far that doesn't answer the turn before it. Windows span
+    parts of a conversation, and what comes before a part is found in one row a part.
+    """
+    rows = messages.select(conv_key(F.col("conv")).alias("c"), "turn").filter("turn is not null").distinct().join(links, ["c", "turn"], "left").withColumn("part", F.floor(F.col("turn") / PART))
+    inside = Window.partitionBy("c", "part").orderBy("turn")
+    parts = rows.groupBy("c", "part").agg(F.count("*").alias("n"), F.max("turn").alias("last"))
+    earlier = Window.partitionBy("c").orderBy("part")
+    parts = parts.select("c", "part", F.coalesce(F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"), F.lag("last").over(earlier).alias("earlier"))
+    rows = rows.withColumn("at", F.row_number().over(inside)).withColumn("inside", F.lag("turn").over(inside)).join(parts, ["c", "part"])
+    rows = rows.withColumn("seq", F.col("offset") + F.col("at")).withColumn("previous", F.coalesce("inside", "earlier"))
+    rows = rows.withColumn("head", F.when(F.col("previous").isNull() | (F.col("link") != F.col("previous")), F.col("seq")))
+    heads = rows.groupBy("c", "part").agg(F.max("head").alias("own")).select("c", "part", F.max("own").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("held"))
+    run = F.coalesce(F.max("head").over(inside.rowsBetween(Window.unboundedPreceding, 0)), "held")
+    return rows.join(heads, ["c", "part"]).select("c", "turn", "seq", "previous", "link", run.alias("run"))
+
+
+def positions(numbered: DataFrame) -> DataFrame:
+    """(c, turn, previous, position) of :func:`turns`, in reply order: each message, then all replies to it, the earliest first.
+
+    A run of turns that each answer the one before stays together, and the runs that branch off follow
+    it, those from its last turns first. Where no run branches off that is the order of turns. Sizes
+    of branches and their places are summed by doubling, in rounds that grow with the logarithm of
+    the depth of branches; each round's table is written.
+    """
+    at = numbered.select("c", F.col("turn").alias("link"), F.col("run").alias("parent"), F.col("seq").alias("branch"))
+    heads = numbered.filter("seq = run").join(at, ["c", "link"], "left").select("c", "run", "parent", "branch")
+    runs = numbered.groupBy("c", "run").agg(F.count("*").alias("own")).join(heads, ["c", "run"])
+    if numbered.filter("link is not null and link <> previous").isEmpty():
+        return numbered.select("c", "turn", "previous", F.col("seq").alias("position"))
+    runs = written(runs, "runs")
+
+    def doubled(rows: DataFrame, up_sum: bool) -> DataFrame:
+        """``value`` summed over all runs below (and the run itself), or over all above."""
+        while not rows.filter("up is not null").isEmpty():
+            above = rows.select("c", F.col("run").alias("up"), F.col("up").alias("farther"), F.col("value").alias("held"))
+            nxt = rows.join(above, ["c", "up"], "left")
+            if up_sum:
+                below = rows.filter("up is not null").groupBy("c", F.col("up").alias("run")).agg(F.sum("value").alias("more"))
+                nxt = nxt.join(below, ["c", "run"], "left").select("c", "run", F.col("farther").alias("up"), (F.col("value") + F.coalesce("more", F.lit(0))).alias("value"))
+            else:
+                nxt = nxt.select("c", "run", F.col("farther").alias("up"), (F.col("value") + F.coalesce("held", F.lit(0))).alias("value"))
+            rows = written(nxt, "doubled")
+        return rows.select("c", "run", "value")
+
+    sizes = doubled(runs.select("c", "run", F.col("parent").alias("up"), F.col("own").alias("value")), True).withColumnRenamed("value", "size")
+    siblings = Window.partitionBy("c", "parent").orderBy(F.desc("branch"), "run").rowsBetween(Window.unboundedPreceding, -1)
+    parents = runs.select("c", F.col("run").alias("parent"), F.col("own").alias("length"))
+    steps = runs.join(sizes, ["c", "run"]).join(parents, ["c", "parent"], "left").withColumn("before", F.coalesce(F.sum("size").over(siblings), F.lit(0)))
+    steps = steps.select("c", "run", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(F.col("length") + F.col("before")).cast("long").alias("value"))
+    starts = doubled(written(steps, "steps"), False)
+    return numbered.join(starts, ["c", "run"]).select("c", "turn", "previous", (F.col("value") + F.col("seq") - F.col("run") + 1).alias("position"))
 
 
 def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per message: conv_id, turn, role, text (without quotes), n_quotes, n_linked, reply_to, line.
+    """One row per message: conv_id, turn, role, text (without quotes), n_quotes, n_linked, reply_to, position, line.
 
     A passage links to the first turn of its conversation whose unquoted whole text, a paragraph, or a
-    run of consecutive lines or sentences of it is the same after normalisation, if that turn is earlier. ``reply_to`` is the linked
-    turn of the lowest quote level, of equal ones the latest; without linked quotes, the turn before
-    (null for the first). Turns only reply to earlier ones, so turn order is reply order. ``line`` is
-    the message as a chat line. Null texts are empty; null turns quote nothing and reply to nothing;
-    null conversation ids are one conversation; a null role is an empty one in ``line``. Repeated rows
-    give repeated rows. An empty table gives an empty result. Other columns aren't read.
+    run of consecutive lines or sentences of it is the same after normalisation, if that turn is
+    earlier. ``reply_to`` is the linked turn of the lowest quote level, of equal ones the latest;
+    without linked quotes, the turn before (null for the first). ``position`` is the turn's place in
+    its conversation from 1, in reply order (see :func:`positions`); of several messages with one turn
+    the lowest level and latest link counts. ``line`` is the message as a chat line. Null texts are
+    empty; null turns quote nothing, reply to nothing and have no position; null conversation ids are
+    one conversation; a null role is an empty one in ``line``. Repeated rows give repeated rows. An
+    empty table gives an empty result. Other columns aren't read.
     """
     src = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("role"), text_or_empty(text_col).alias("text"))
     messages = src.withColumn("own", F.md5("text"))
@@ -118,25 +172,26 @@ def link_quotes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     hits = quoted.join(originals(messages, quoted), "key", "left").withColumn("hit", F.when(F.col("first") < F.col("turn"), F.col("first")))
     best = F.min(F.when(F.col("hit").isNotNull(), F.struct("level", (-F.col("hit")).alias("back"))))
     found = hits.groupBy("conv", "turn", "own").agg(F.count("*").alias("n_quotes"), F.count("hit").alias("n_linked"), best.alias("best"))
-    m, q, b = messages.alias("m"), found.alias("q"), before(messages).alias("b")
-    out = m.join(q, F.expr("m.conv <=> q.conv and m.turn <=> q.turn and m.own = q.own"), "left").join(b, F.expr("m.conv <=> b.conv and m.turn = b.turn"), "left")
-    out = out.select(F.col("m.conv").alias("conv_id"), "m.turn", "m.role", unquoted(F.col("m.text")).alias("text"), F.coalesce("q.n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("q.n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce(-F.col("q.best.back"), F.col("b.previous")).alias("reply_to"))
+    links = found.filter("best is not null").groupBy(conv_key(F.col("conv")).alias("c"), "turn").agg((-F.min("best")["back"]).alias("link"))
+    order = positions(turns(messages, links))
+    m, q, b = messages.withColumn("c", conv_key(F.col("conv"))).alias("m"), found.alias("q"), order.alias("b")
+    out = m.join(q, F.expr("m.conv <=> q.conv and m.turn <=> q.turn and m.own = q.own"), "left").join(b, F.expr("m.c = b.c and m.turn = b.turn"), "left")
+    out = out.select(F.col("m.conv").alias("conv_id"), "m.turn", "m.role", unquoted(F.col("m.text")).alias("text"), F.coalesce("q.n_quotes", F.lit(0)).cast("long").alias("n_quotes"), F.coalesce("q.n_linked", F.lit(0)).cast("long").alias("n_linked"), F.coalesce(-F.col("q.best.back"), F.col("b.previous")).alias("reply_to"), F.col("b.position").cast("long").alias("position"))
     return out.withColumn("line", F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>"), "text"))
 
 
 def conversations(linked: DataFrame) -> DataFrame:
-    """Chat texts of linked messages in reply order, PART turns a row: conv_id, part, n_messages, text.
+    """(conv_id, position, line) of linked messages, each conversation's lines in reply order, in sorted partitions.
 
-    Equal turns are put in order of their lines; null turns come first, in part 0.
+    A conversation of any length is a run of rows, and a long one is dealt to several partitions, in
+    order. Messages of one turn are put in order of their lines; those without a turn come first.
     """
-    part = F.coalesce(F.floor(F.col("turn") / PART), F.lit(0)).alias("part")
-    got = linked.groupBy("conv_id", part).agg(F.count("*").alias("n_messages"), F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), "line"))).alias("lines"))
-    return got.select("conv_id", "part", "n_messages", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
+    return linked.select("conv_id", "position", "line").repartitionByRange("conv_id", "position", "line").sortWithinPartitions("conv_id", "position", "line")
 
 
 #: link_quotes over ``conversations``, in DuckDB SQL.
 SQL = r"""
-with m as (
+with recursive m as (
   select conv_id as conv, cast(turn as bigint) as turn, role, coalesce(text, '') as text, md5(coalesce(text, '')) as own,
          string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) as lines
   from conversations),
@@ -152,24 +207,46 @@ l as (
 r as (
   select *, sum(change) over (partition by conv, turn, own order by pos) as run
   from (select *, case when lag(level) over (partition by conv, turn, own order by pos) = level then 0 else 1 end as change from l)),
-p as (
-  select conv, turn, own, run, level,
-         trim(regexp_replace(lower(string_agg(regexp_replace(raw, '^[ \t]{0,3}(>[ \t]?)+', ''), chr(10) order by pos)), '\s+', ' ', 'g')) as passage
+p0 as (
+  select conv, turn, own, run, level, string_agg(regexp_replace(raw, '^[ \t]{0,3}(>[ \t]?)+', ''), chr(10) order by pos) as quoted
   from r where level > 0 group by conv, turn, own, run, level),
+p as (
+  select *, len(list_filter(string_split(quoted, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g')) <> '')) as n_lines,
+         len(string_split(regexp_replace(passage, '([.!?\x{2026}]) ', '\1' || chr(10), 'g'), chr(10))) as n_sentences
+  from (select *, trim(regexp_replace(lower(quoted), '\s+', ' ', 'g')) as passage from p0) where passage <> ''),
+k as (select conv, list(distinct n_lines) as by_line, list(distinct n_sentences) as by_sentence from p group by conv),
+o0 as (
+  select c.conv, c.turn, body, by_line, by_sentence,
+         list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '') as full_lines,
+         string_split(regexp_replace(trim(regexp_replace(lower(body), '\s+', ' ', 'g')), '([.!?\x{2026}]) ', '\1' || chr(10), 'g'), chr(10)) as sentences
+  from c join k on c.conv is not distinct from k.conv),
 u as (
   select conv, turn, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) as unit
-  from (select conv, turn, unnest(list_concat([body], list_concat(string_split_regex(body, '\n[ \t]*\n'), string_split(body, chr(10))))) as unit from c)),
+  from (select conv, turn, unnest(list_concat([body], list_concat(string_split_regex(body, '\n[ \t]*\n'), string_split(body, chr(10))))) as unit from o0)
+  union all
+  select conv, turn, array_to_string(full_lines[i : i + n - 1], ' ') from (select *, unnest(range(1, len(full_lines) - n + 2)) as i from (select *, unnest(by_line) as n from o0))
+  union all
+  select conv, turn, array_to_string(sentences[i : i + n - 1], ' ') from (select *, unnest(range(1, len(sentences) - n + 2)) as i from (select *, unnest(by_sentence) as n from o0))),
 o as (select conv, unit, min(turn) as first from u where unit <> '' group by conv, unit),
 h as (
   select p.conv, p.turn, p.own, p.level, case when o.first < p.turn then o.first end as hit
-  from p left join o on p.conv is not distinct from o.conv and p.passage = o.unit where p.passage <> ''),
+  from p left join o on p.conv is not distinct from o.conv and p.passage = o.unit),
 f as (
-  select conv, turn, own, count(*) as n_quotes, count(hit) as n_linked, arg_max(hit, -level * 1000000000 + hit) as best
+  select conv, turn, own, count(*) as n_quotes, count(hit) as n_linked, min(struct_pack(level := level, back := -hit)) filter (where hit is not null) as best
   from h group by conv, turn, own),
-b as (select conv, turn, lag(turn) over (partition by conv order by turn) as previous from (select distinct conv, turn from m where turn is not null))
+g as (select conv, turn, -min(best).back as link from f where best is not null group by conv, turn),
+b as (
+  select t.*, g.link from (select conv, turn, row_number() over (partition by conv order by turn) as seq, lag(turn) over (partition by conv order by turn) as previous
+    from (select distinct conv, turn from m where turn is not null)) t left join g on t.conv is not distinct from g.conv and t.turn = g.turn),
+e as (select *, max(case when previous is null or link <> previous then seq end) over (partition by conv order by seq) as run from b),
+w as (select x.conv, x.run, y.run as parent, y.seq as branch from e x left join e y on x.conv is not distinct from y.conv and x.link = y.turn where x.seq = x.run),
+z(conv, run, path) as (
+  select conv, run, cast([] as bigint[]) from w where parent is null
+  union all select w.conv, w.run, list_concat(z.path, [-w.branch, w.run]) from w join z on w.conv is not distinct from z.conv and w.parent = z.run),
+n as (select e.conv, e.turn, e.previous, row_number() over (partition by e.conv order by z.path, e.seq) as position from e join z on e.conv is not distinct from z.conv and e.run = z.run)
 select c.conv as conv_id, c.turn, c.role, c.body as text, cast(coalesce(f.n_quotes, 0) as bigint) as n_quotes,
-       cast(coalesce(f.n_linked, 0) as bigint) as n_linked, coalesce(f.best, b.previous) as reply_to,
+       cast(coalesce(f.n_linked, 0) as bigint) as n_linked, coalesce(-f.best.back, n.previous) as reply_to, n.position,
        '<|' || coalesce(c.role, '') || '|>' || c.body as line
 from c left join f on c.conv is not distinct from f.conv and c.turn is not distinct from f.turn and c.own = f.own
-       left join b on c.conv is not distinct from b.conv and c.turn = b.turn
+       left join n on c.conv is not distinct from n.conv and c.turn = n.turn
 """
