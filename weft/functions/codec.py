@@ -13,14 +13,21 @@ from pyspark.sql import types as T
 from weft.schemas import EXTERNAL_PREFIX, LIMITS, MAX_EXTERNAL
 
 
-def json_or_raw(text: Column) -> Column:
-    """Struct of the parsed value as canonical JSON text (null if it isn't JSON or is empty) and the raw text.
+def parsed(text: Column) -> Column:
+    """The variant of a JSON text; null for anything else, text after a value included.
 
-    The parser stops after a value, so the text is parsed as the one element of an array.
+    The parser stops after a value, so the text is parsed as the one element of an array and, lest it
+    close that itself, as the one member of an object.
     """
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when((F.size(items) == 1) & member.isNotNull(), F.try_element_at(items, F.lit(1)))
+
+
+def json_or_raw(text: Column) -> Column:
+    """Struct of the parsed value as canonical JSON text (null if it isn't JSON or is empty) and the raw text."""
     raw = F.nullif(text, F.lit(""))
-    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$", "array<variant>")
-    return F.struct(F.when(F.size(items) == 1, F.to_json(F.try_element_at(items, F.lit(1)))).alias("parsed"), raw.alias("raw"))
+    return F.struct(F.to_json(parsed(raw)).alias("parsed"), raw.alias("raw"))
 
 
 def truncate(text: Column, limit: int = LIMITS["identity"], suffix: str = " ...") -> Column:
@@ -79,10 +86,32 @@ def command_line(args: Column, kwargs: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def hex_hash(text: pd.Series) -> pd.Series:
-    """Adler-32 of the UTF-8 bytes in hex without padding; an empty text gives ``0``."""
+    """Adler-32 of the UTF-8 bytes in hex without padding; an empty text gives ``0``.
+
+    A library call on each value of an Arrow batch: the same sums over an array of single bytes, as
+    column expressions, take far longer and far more memory on long texts.
+    """
     return text.map(lambda s: None if s is None else f"{zlib.adler32(s.encode()) if s else 0:x}")
 
 
+def json_dump(text: Column, pretty: bool = False, ascii_only: bool = False) -> Column:
+    """A JSON text anew, with sorted keys at every level and nulls kept: compact or pretty, other letters escaped if ``ascii_only``.
+
+    Null for what isn't JSON. A variant keeps its members in order of their names.
+    """
+    out = F.to_json(parsed(text), {"pretty": "true"}) if pretty else F.to_json(parsed(text))
+    if not ascii_only:
+        return out
+    code = lambda c: F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    escaped = F.array_join(F.transform(F.split(out, ""), lambda c: F.when(F.octet_length(c) < 2, c).otherwise(F.regexp_replace(code(c), "(.{4})", r"\\u$1"))), "")
+    return F.when(F.octet_length(out) == F.length(out), out).otherwise(escaped)
+
+
+def poll_data(text: Column, schema: str) -> Column:
+    """What a task poll would bring, from its base64 JSON; null for anything else."""
+    return F.from_json(F.try_to_binary(text, F.lit("base64")).cast("string"), schema)
+
+
 def without_nulls(value):
     if isinstance(value, dict):
         return {k: without_nulls(v) for k, v in value.items() if v is not None}

@@ -53,6 +53,40 @@ def iso_millis(ts: Column) -> Column:
     return F.when(F.pmod(F.unix_micros(t), F.lit(1_000_000)) == 0, F.concat(whole, F.lit("Z"))).otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
 
 
+def days_ago(as_of: Column, days: Column) -> Column:
+    """The moment so many days before, in UTC."""
+    return F.timestamp_micros(micros(as_of) - days.cast("long") * 86_400_000_000)
+
+
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970, cut."""
+    return F.floor(micros(ts) / 1_000_000).cast("long")
+
+
+def moment(value: Column) -> Column:
+    """Seconds since 1970 as a timestamp."""
+    return F.timestamp_seconds(value)
+
+
+def cli_time(text: Column) -> Column:
+    """A command line's timestamp: a date with or without a time of day; null for anything else."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd")])
+
+
+def exponential_delay(attempt: Column, random: Column) -> Column:
+    """Seconds before the next attempt: ``random`` (0 to 1) times a power of two, and one."""
+    return random * F.pow(F.lit(2.0), attempt) + 1
+
+
+def constant_delay(seconds: float) -> Column:
+    return F.lit(float(seconds))
+
+
+def without_prefix(key: Column, prefix: Column) -> Column:
+    """A key without the path that it is known to lie under."""
+    return F.substr(key, F.length(prefix) + 1)
+
+
 def before_last_dot(text: Column) -> Column:
     """(head, tail) at the last dot; without a dot the head is empty."""
     tail = F.substring_index(text, ".", -1)

@@ -13,14 +13,10 @@ from pyspark.sql import functions as F
 FAILURES = ("failed", "timed_out")
 
 
-def latest(value: Column | str, when: Column, order: str = "e") -> Column:
-    """The value at the latest event for which ``when`` holds; a null value there stays null."""
-    held = F.struct(F.col(value) if isinstance(value, str) else value)
-    return F.max_by(held, F.when(when, F.col(order)))["col1" if not isinstance(value, str) else value]
-
-
-def at_state(value: str, state: str, order: str = "e") -> Column:
-    return F.max_by(F.struct(F.col(value).alias("v")), F.when(F.col("st") == state, F.col(order)))["v"]
+def at_state(value: str, states: str | tuple[str, ...], order: str = "e") -> Column:
+    """The value at the latest event in one of the states; a null value there stays null."""
+    held = F.col("st").isin(*([states] if isinstance(states, str) else states))
+    return F.max_by(F.struct(F.col(value).alias("v")), F.when(held, F.col(order)))["v"]
 
 
 def retries() -> Column:
@@ -28,10 +24,10 @@ def retries() -> Column:
     return (F.nullif(F.sum(F.when(F.col("st").isin(*FAILURES), 1).otherwise(0)), F.lit(0)) - 1).cast("long")
 
 
-def fold(log: DataFrame, keys: list[str], times: dict[str, str], values: dict[str, tuple[str, str]], retry: bool = True) -> DataFrame:
+def fold(log: DataFrame, keys: list[str], times: dict[str, str], values: dict[str, tuple], retry: bool = True) -> DataFrame:
     """State per entity: ``last_state``, first event, a time per state, and named values of states.
 
-    ``times``: output column to state; ``values``: output column to (state, input column).
+    ``times``: output column to state; ``values``: output column to (state or states, input column).
     """
     out = [F.max_by("st", "e").alias("last_state"), F.min("e").alias("first_event"), F.max("e").alias("last_event")]
     out += [at_state("us", state).alias(c) for c, state in times.items()]
@@ -39,23 +35,43 @@ def fold(log: DataFrame, keys: list[str], times: dict[str, str], values: dict[st
     return log.groupBy(*keys).agg(*out, *([retries().alias("retry")] if retry else []))
 
 
+#: Columns of the folds: the time of each state, and values at the latest event of one or more states.
+ACTIVITY_TIMES = {f"{s}_us": s for s in ("scheduled", "schedule_failed", "started", "completed", "failed", "timed_out", "canceled", "cancel_requested")}
+ACTIVITY_VALUES = {"scheduled_id": ("scheduled", "e"), "input": ("scheduled", "props"), "cause": ("schedule_failed", "props"), "started_id": ("started", "e"), "completed_id": ("completed", "e"), "result": ("completed", "props"), "failed_id": ("failed", "e"), "reason": ("failed", "props"), "details": (("failed", "canceled"), "props"), "timed_out_id": ("timed_out", "e"), "timeout_value": ("timed_out", "value"), "cancel_decision_id": ("cancel_requested", "e")}
+CHILD_TIMES = {"initiated_us": "start_initiated"} | {f"{s}_us": s for s in ("start_failed", "started", "completed", "failed", "timed_out", "canceled", "terminated")}
+CHILD_VALUES = {"initiated_id": ("start_initiated", "e"), "input": ("start_initiated", "props"), "cause": ("start_failed", "props"), "decision_id": (("start_initiated", "start_failed"), "e"), "started_id": ("started", "e"), "result": ("completed", "props"), "reason": ("failed", "props"), "details": (("failed", "canceled"), "props"), "timeout_value": ("timed_out", "value"), "terminated_id": ("terminated", "e")}
+WORKFLOW_TIMES = {f"{s}_us": s for s in ("started", "continued_as_new", "completed", "canceled", "failed", "terminated", "timed_out")}
+WORKFLOW_VALUES = {"started_id": ("started", "e"), "input": (("started", "continued_as_new"), "props"), "new_execution_run_id": ("continued_as_new", "k"), "result": ("completed", "props"), "reason": ("failed", "props"), "details": (("canceled", "failed", "terminated"), "props"), "cause": ("terminated", "value"), "timeout_type": ("timed_out", "k")}
+TIMER_STATES = ("fired", "canceled", "start_failed", "cancel_failed")
+
+
 def activities(log: DataFrame) -> DataFrame:
-    times = {f"{s}_us": s for s in ("scheduled", "started", "completed", "failed", "timed_out")}
-    return fold(log, ["u", "id"], times, {"scheduled_id": ("scheduled", "e"), "input": ("scheduled", "props"), "result": ("completed", "props"), "reason": ("failed", "props"), "timeout_value": ("timed_out", "value")})
+    return fold(log, ["u", "id"], ACTIVITY_TIMES, ACTIVITY_VALUES)
 
 
 def children(log: DataFrame) -> DataFrame:
-    times = {"initiated_us": "start_initiated", "started_us": "started", "completed_us": "completed", "failed_us": "failed", "canceled_us": "canceled"}
-    return fold(log, ["u", "id"], times, {"initiated_id": ("start_initiated", "e"), "input": ("start_initiated", "props"), "result": ("completed", "props"), "reason": ("failed", "props"), "details": ("canceled", "props")})
+    return fold(log, ["u", "id"], CHILD_TIMES, CHILD_VALUES)
 
 
 def workflows(log: DataFrame) -> DataFrame:
-    times = {f"{s}_us": s for s in ("started", "completed", "failed", "timed_out", "canceled")}
-    return fold(log, ["u"], times, {"started_id": ("started", "e"), "input": ("started", "props"), "result": ("completed", "props"), "reason": ("failed", "props")}, retry=False)
+    """The execution itself: signals and cancel requests are kept apart (:func:`notices`)."""
+    return fold(log.filter(F.col("st").isin(*WORKFLOW_TIMES.values())), ["u"], WORKFLOW_TIMES, WORKFLOW_VALUES, retry=False)
+
+
+def notices(log: DataFrame) -> DataFrame:
+    """The latest cancel request and the latest failure to cancel of each execution."""
+    last = lambda s: F.max_by(F.struct("e", "us", "props"), F.when(F.col("st") == s, F.col("e")))
+    got = log.filter(F.col("st").isin("cancel_requested", "cancel_failed")).groupBy("u").agg(last("cancel_requested").alias("r"), last("cancel_failed").alias("f"))
+    return got.select("u", F.col("r.e").alias("cancel_requested_id"), F.col("r.us").alias("cancel_requested_us"), F.col("r.props").alias("cancel_requested_cause"), F.col("f.e").alias("cancel_failed_id"), F.col("f.us").alias("cancel_failed_us"), F.col("f.props").alias("cancel_failed_cause"))
 
 
 def timers(log: DataFrame) -> DataFrame:
-    return fold(log, ["u", "id"], {f"{s}_us": s for s in ("started", "fired", "canceled")}, {"started_id": ("started", "e"), "control": ("started", "props")}, retry=False)
+    """Timers by id; a start forgets what became of the timer before."""
+    started = F.max(F.when(F.col("st") == "started", F.col("e")))
+    since = lambda state, value: F.when(F.coalesce(F.max(F.when(F.col("st") == state, F.col("e"))) > started, F.lit(True)), at_state(value, state))
+    cols = [F.max_by("st", "e").alias("last_state"), F.min("e").alias("first_event"), F.max("e").alias("last_event"), at_state("us", "started").alias("started_us"), at_state("e", "started").alias("started_id"), at_state("props", "started").alias("control")]
+    cols += [since(s, "us").alias(f"{s}_us") for s in TIMER_STATES] + [since(s, "e").alias(f"{s}_id") for s in TIMER_STATES] + [since("start_failed", "props").alias("cause")]
+    return log.groupBy("u", "id").agg(*cols)
 
 
 def externals(log: DataFrame, prefix: str = "signal") -> DataFrame:
@@ -94,6 +110,13 @@ def task_order(acts: DataFrame, kids: DataFrame, signals: DataFrame) -> DataFram
     return all_.withColumn("pos", F.row_number().over(w).cast("long"))
 
 
+def decision_before(log: DataFrame, moments: DataFrame) -> DataFrame:
+    """Each moment (u, e) with the last completed decision before it, of a log (u, e, done); one ordered pass over both."""
+    both = log.filter("done").select("u", "e", F.col("e").alias("d")).unionByName(moments.select("u", "e", F.lit(None).cast("long").alias("d")))
+    earlier = Window.partitionBy("u").orderBy("e", F.col("d").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    return both.withColumn("decision_id", F.last("d", ignorenulls=True).over(earlier)).filter("d is null").drop("d")
+
+
 def total_time(log: DataFrame) -> DataFrame:
     """Seconds from the first event's time to the last's, by position."""
     return log.groupBy("u").agg(((F.max_by("us", "e") - F.min_by("us", "e")) / F.lit(1e6)).alias("total_time"))

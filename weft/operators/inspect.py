@@ -21,6 +21,21 @@ def latest_n(df: DataFrame, n: int, key: str = "u", order: str = "e") -> DataFra
     return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
 
 
+def pages(df: DataFrame, max_results: int | None = None, page_size: int = 100, reverse: bool = False, key: str = "u", order: str = "e") -> DataFrame:
+    """Events with their ``page`` from 1, newest first if ``reverse``; exactly ``max_results`` of an execution at most."""
+    w = Window.partitionBy(key).orderBy(F.desc(order) if reverse else F.asc(order))
+    rows = df.withColumn("_r", F.row_number().over(w))
+    if max_results is not None:
+        rows = rows.filter(F.col("_r") <= max_results)
+    return rows.withColumn("page", (F.floor((F.col("_r") - 1) / page_size) + 1).cast("long")).drop("_r")
+
+
+def find_timers(wanted: DataFrame, timers: DataFrame) -> DataFrame:
+    """Wanted timers (u, id, cancel) with the state of their timer; a cancellation is found only once it has succeeded or failed."""
+    found = timers.select("u", "id", F.col("last_state").alias("state"), (F.col("canceled_id").isNotNull() | F.col("cancel_failed_id").isNotNull()).alias("_over"))
+    return wanted.join(found, ["u", "id"], "left").select(*wanted.columns, F.when(~F.col("cancel") | F.col("_over"), F.col("state")).alias("state"))
+
+
 def between(df: DataFrame, start: int, stop: int | None, key: str = "u", order: str = "e") -> DataFrame:
     """Positions [start, stop) of each execution, counted from 0; negative ones from the end."""
     w = Window.partitionBy(key).orderBy(order)

@@ -7,6 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weft.functions import codec
 from weft.schemas import FUTURES, MAX_DECISIONS, MAX_REQUEST, REQUEST_MARGIN
 
 
@@ -30,6 +31,54 @@ def retry_decision(state: Column, retry: Column, max_retry: Column, raises: Colu
     return F.when(~failed, "none").when(F.coalesce(retry, F.lit(0)) < max_retry, "reschedule").when(raises, "raise").otherwise("keep")
 
 
+#: What a workflow may decide about a failed task.
+FAILURE_DECISIONS = ("none", "abort", "ignore", "retry_now", "retry_later", "cancel", "handled")
+
+
+def failure_outcome(decision: Column, wait: Column, retry: Column, max_retry: Column, raises: Column, timer_state: Column | None = None) -> Column:
+    """Struct (action, future, delay) of a failed task, from the workflow's decision about it.
+
+    ``action``: raise, keep (the future holds the exception), done (it doesn't), schedule (again),
+    schedule_saved (with the arguments that the timer kept), start_timer, pending or timer_error. The
+    state of a retry timer that was started after the failure comes first; a timer in another state
+    is passed over, and so is a missing one. ``retry_later`` without a wait is ``retry_now``.
+    """
+    give_up = F.when(raises, "raise").otherwise("keep")
+    later = (decision == "retry_later") & (F.coalesce(wait, F.lit(0)) != 0)
+    default = F.when(F.coalesce(retry, F.lit(0)) >= max_retry, give_up).otherwise("schedule")
+    own = F.when(decision == "abort", give_up).when(decision == "ignore", "done").when(decision == "cancel", "cancel").when(later, "start_timer").when(decision.isin("retry_now", "retry_later"), "schedule").when(decision == "handled", "keep").otherwise(default)
+    action = own
+    if timer_state is not None:
+        action = F.when(timer_state == "started", "pending").when(timer_state.isin("fired", "canceled"), "schedule_saved").when(timer_state == "start_failed", "timer_error").otherwise(own)
+    future = F.when(action.isin("keep", "done"), "FINISHED").when(action == "cancel", "CANCELLED").when(action.isin("pending", "schedule", "schedule_saved", "start_timer"), "PENDING")
+    return F.struct(action.alias("action"), future.alias("future"), F.when(action == "start_timer", wait).alias("delay"))
+
+
+def retry_timer(tasks: DataFrame, timers: DataFrame, task_decision: Column, timer_decision: Column) -> DataFrame:
+    """Tasks (u, id, ...) with ``timer_state``: that of the retry timer of their id, if it was started in a later decision."""
+    t = timers.select("u", "id", F.col("last_state").alias("_state"), timer_decision.alias("_d"))
+    joined = tasks.join(t, ["u", "id"], "left")
+    return joined.withColumn("timer_state", F.when(F.col("_d") > task_decision, F.col("_state"))).drop("_state", "_d")
+
+
+def handle_once(failures: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Failures of a replay, each event handled the first time it is met only."""
+    return suppress_repeats(failures, keys, order)
+
+
+def find_signals(wanted: DataFrame, signals: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Wanted signals (u, name, workflow_id, run_id) with ``event_id``: received under that name, else delivered to the target.
+
+    A signal without a target is a broadcast, which only counts if received. A target without a run
+    matches any run of its workflow; the first delivery counts. The disjunction is two equi-joins.
+    """
+    got = signals.groupBy("u", "name").agg(F.max("event_id").alias("_received"))
+    any_run = delivered.groupBy("u", "name", "workflow_id").agg(F.min("event_id").alias("_any"))
+    one_run = delivered.groupBy("u", "name", "workflow_id", "run_id").agg(F.min("event_id").alias("_run"))
+    out = wanted.join(got, ["u", "name"], "left").join(any_run, ["u", "name", "workflow_id"], "left").join(one_run, ["u", "name", "workflow_id", "run_id"], "left")
+    return out.select(*wanted.columns, F.coalesce("_received", F.when(F.col("run_id").isNull(), F.col("_any")).otherwise(F.col("_run"))).alias("event_id"))
+
+
 def sequence_numbers(df: DataFrame, execution: str, name: str, order: list[str]) -> Column:
     return F.row_number().over(Window.partitionBy(execution, name).orderBy(*order)).cast("long")
 
@@ -49,6 +98,107 @@ def batch_cut(df: DataFrame, execution: str, size: Column, order: list[str], mos
     return rows.filter("_fits").drop("_n", "_s", "_fits")
 
 
+def with_wake_up(batch: DataFrame, execution: str, truncated: str = "truncated", kind: str = "decision_type") -> DataFrame:
+    """(execution, decision_type, n, wake_up) of a cut batch, and a StartTimer row where the execution has to be woken.
+
+    That is where decisions were left out, or where a marker or a timer's cancellation is among them,
+    which bring about no further decision.
+    """
+    counts = batch.groupBy(execution, kind).agg(F.count("*").alias("n"), F.max(truncated).alias("_t"))
+    silent = F.col(kind).isin("RecordMarker", "CancelTimer")
+    woken = counts.groupBy(execution).agg(F.max(F.col("_t") | silent).alias("_w")).filter("_w")
+    timer = woken.select(execution, F.lit("StartTimer").alias(kind), F.lit(1).cast("long").alias("n"), F.lit(True).alias("wake_up"))
+    return counts.select(execution, kind, "n", F.lit(False).alias("wake_up")).unionByName(timer)
+
+
+#: Decision types and the attributes of each.
+DECISIONS = {
+    "CompleteWorkflowExecution": ["result"],
+    "CancelWorkflowExecution": ["details"],
+    "FailWorkflowExecution": ["details", "reason"],
+    "TerminateWorkflowExecution": ["details", "reason"],
+    "ContinueAsNewWorkflowExecution": ["childPolicy", "executionStartToCloseTimeout", "input", "tagList", "taskList", "taskStartToCloseTimeout", "workflowTypeVersion"],
+    "StartChildWorkflowExecution": ["childPolicy", "control", "executionStartToCloseTimeout", "input", "tagList", "taskList", "taskStartToCloseTimeout", "workflowId", "workflowType"],
+    "RequestCancelExternalWorkflowExecution": ["runId", "workflowId"],
+    "SignalExternalWorkflowExecution": ["control", "input", "runId", "signalName", "workflowId"],
+    "ScheduleActivityTask": ["activityId", "activityType", "control", "heartbeatTimeout", "input", "scheduleToCloseTimeout", "scheduleToStartTimeout", "startToCloseTimeout", "taskList", "taskPriority"],
+    "RequestCancelActivityTask": ["activityId"],
+    "StartTimer": ["control", "startToFireTimeout", "timerId"],
+    "CancelTimer": ["timerId"],
+    "RecordMarker": ["details", "markerName"],
+}
+
+
+def decision(kind: str, **attributes: Column) -> Column:
+    """Struct (decision_type, attrs): the attributes as compact JSON in order of their names, falsy ones left out."""
+    if wrong := sorted(set(attributes) - set(DECISIONS[kind])):
+        raise TypeError(f"not for {kind}: {', '.join(wrong)}")
+    named = {k: F.when(F.get_json_object(F.to_json(F.struct(v.alias("v"))), "$.v.name").isNotNull(), v) if k in ("taskList", "activityType", "workflowType") else v for k, v in attributes.items()}
+    return F.struct(F.lit(kind).alias("decision_type"), codec.without_falsy(**named).alias("attrs"))
+
+
+def replay(plan: DataFrame, entities: DataFrame, executions: DataFrame, most: int = MAX_DECISIONS) -> DataFrame:
+    """The decisions of each execution whose workflow submits the tasks of ``plan`` together: u, seq, decision_type, attrs.
+
+    ``plan``: (u, id, pos, name, max_retry, raises); ``entities``: the activity fold; ``executions``:
+    (u, cancel, fail_at, fail_reason, error). In this order: an error of the workflow's own code fails
+    the execution; a cancel request cancels it; the first task by pos that gives up, and raises, fails
+    it; it fails itself when it comes to ``fail_at``, after the decisions so far; it completes with
+    the results in order once all tasks are done; else tasks without a future are scheduled, at most
+    ``most`` - 1, with a timer that wakes the execution if there are more.
+    """
+    found = entities.select("u", "id", "last_state", "retry", "result", "reason")
+    rows = plan.join(found, ["u", "id"], "left").join(executions, "u")
+    state, failed = F.col("last_state"), F.col("last_state").isin(*("failed", "timed_out"))
+    again = failed & (F.coalesce("retry", F.lit(0)) < F.col("max_retry"))
+    outcome = F.when(state.isNull() | (state == "schedule_failed") | again, "schedule").when(failed & F.col("raises"), "error").when(failed | state.isin("completed", "canceled"), "done").otherwise("pending")
+    rows = rows.withColumn("outcome", outcome).filter(F.col("fail_at").isNull() | (F.col("pos") < F.col("fail_at")))
+    problem = F.when(state == "failed", F.coalesce("reason", F.lit(""))).otherwise("TimeoutError()")
+    text = F.concat(F.lit("Workflow execution error in "), F.col("name"), F.lit(': "'), problem, F.lit('"'))
+    per = rows.groupBy("u").agg(F.min_by(text, F.when(F.col("outcome") == "error", F.col("pos"))).alias("raised"), F.bool_and(F.col("outcome") == "done").alias("all_done"), F.count_if(F.col("outcome") == "schedule").alias("n"), F.array_sort(F.collect_list(F.struct("pos", F.when(state == "completed", F.col("result")).alias("r")))).alias("results"))
+    ends = executions.join(per, "u", "left")
+    results = F.to_json(F.transform(F.coalesce("results", F.array().cast("array<struct<pos:bigint,r:string>>")), lambda x: x["r"]))
+    # With all reasons to end in order, the first that holds is the only decision, but for its own failure.
+    end = F.when(F.col("error").isNotNull(), decision("FailWorkflowExecution", reason=F.concat(F.lit("Cannot replay the workflow: "), F.col("error"))))
+    end = end.when(F.col("cancel"), F.struct(F.lit("CancelWorkflowExecution").alias("decision_type"), F.lit("{}").alias("attrs")))
+    end = end.when(F.col("raised").isNotNull(), decision("FailWorkflowExecution", reason=F.col("raised")))
+    own = decision("FailWorkflowExecution", reason=F.concat(F.lit("Workflow execution failed: "), F.col("fail_reason")))
+    end = end.when(F.col("fail_at").isNotNull(), own).when(F.coalesce("all_done", F.lit(True)), decision("CompleteWorkflowExecution", result=results))
+    alone = F.col("error").isNotNull() | F.col("cancel") | F.col("raised").isNotNull()
+    ends = ends.withColumn("end", end).withColumn("goes_on", ~F.coalesce(alone, F.lit(False)) & (F.col("end").isNull() | F.col("fail_at").isNotNull()))
+    w = Window.partitionBy("u").orderBy("pos")
+    todo = rows.filter("outcome = 'schedule'").join(ends.filter("goes_on").select("u"), "u").withColumn("seq", F.row_number().over(w).cast("long")).filter(F.col("seq") < most)
+    scheduled = todo.select("u", "seq", decision("ScheduleActivityTask", activityId=F.concat("name", F.lit("-"), F.col("id"))).alias("d"))
+    closing = ends.filter("end is not null").select("u", F.when(F.col("goes_on"), F.least("n", F.lit(most - 1)) + 1).otherwise(1).cast("long").alias("seq"), F.col("end").alias("d"))
+    waking = ends.filter(F.col("goes_on") & F.col("end").isNull() & (F.col("n") >= most - 1)).select("u", F.lit(most).cast("long").alias("seq"), decision("StartTimer", timerId=F.lit("wake-up"), startToFireTimeout=F.lit("0.0")).alias("d"))
+    return scheduled.unionByName(closing).unionByName(waking).select("u", "seq", "d.decision_type", "d.attrs")
+
+
+def run_context(executions: DataFrame) -> Column:
+    """Struct of what a workflow may know of its execution; tags are never null."""
+    own = [F.col("type_name").alias("name"), F.col("type_version").alias("version"), F.col("domain").alias("domain_name"), "workflow_id", "run_id", F.coalesce("tags", F.array().cast("array<string>")).alias("tag_list"), "continued_execution_run_id", "parent_workflow_id", "parent_run_id"]
+    return F.struct(*own)
+
+
+def activity_context(name: Column, version: Column, workflow_id: Column, run_id: Column, activity_id: Column, payload: Column) -> Column:
+    """Struct of what an activity may know of its task."""
+    return F.struct(name.alias("name"), version.alias("version"), workflow_id.alias("workflow_id"), run_id.alias("run_id"), activity_id.alias("activity_id"), payload.alias("input"))
+
+
+def contexts(entries: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Execution contexts from entries (keys, key, kind, value) in order: the last plain value, all of a list, the distinct ones of a set, sorted."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct(order, "value"))), lambda x: x["value"])
+    got = entries.groupBy(*keys, "key", "kind").agg(items.alias("items"))
+    value = F.when(F.col("kind") == "plain", F.slice("items", -1, 1)).when(F.col("kind") == "set", F.array_sort(F.array_distinct("items"))).otherwise(F.col("items"))
+    return got.select(*keys, "key", "kind", value.alias("value"))
+
+
+def task_input(args: Column, kwargs: Column, raw: Column) -> Column:
+    """The input that a task is scheduled with: its arguments as JSON, or the raw value if it has one."""
+    call = F.concat(F.lit('{"args":'), args, F.lit(',"kwargs":'), kwargs, F.lit("}"))
+    return F.coalesce(raw, call)
+
+
 def priority(submit_set: Column, submit: Column, activity_set: Column, activity: Column, workflow: Column) -> Column:
     """The first that is set wins, even if it is set to null: submission, activity, workflow."""
     return F.when(submit_set, submit).when(activity_set, activity).otherwise(workflow)
@@ -66,10 +216,31 @@ def propagate(known: DataFrame, signalled: DataFrame, senders: DataFrame, keys:
     return known.join(signalled, keys, "left_anti").join(senders, keys, "left_anti")
 
 
+def unknown_types(used: DataFrame, registry: DataFrame, keys: list[str]) -> DataFrame:
+    """Types that are used and not registered, each once: those to create."""
+    return used.select(*keys).distinct().join(registry.select(*keys).distinct(), keys, "left_anti")
+
+
 def fixed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+def future_columns(state: Column, value: Column, failed: Column) -> list[Column]:
+    """done, cancel (whether a cancellation takes), after_cancel and result of futures as columns."""
+    finished = state == "FINISHED"
+    return [state.isin("FINISHED", "CANCELLED").alias("done"), (~finished).alias("cancel"), F.when(finished, state).otherwise("CANCELLED").alias("after_cancel"), F.when(finished & ~failed, value).alias("result")]
+
+
+def mark_done(steps: DataFrame, name: str, folder: str) -> None:
+    """Add steps to the table of those that are done; marking one again changes nothing for readers."""
+    steps.select(F.col(name).cast("string").alias("step")).distinct().write.mode("append").parquet(folder)
+
+
+def steps_done(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+    """The steps that are done, under a prefix."""
+    return spark.read.parquet(folder).filter(F.startswith("step", F.lit(prefix))).distinct()
+
+
 def group_verdict(members: DataFrame, key: str, expected: Column | None = None) -> DataFrame:
     """State of each group: finished only if all are, else cancelled, else running if any is, else pending."""
     state = F.col("state")

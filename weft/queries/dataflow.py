@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from weft.operators import inspect, planner
-from weft.plans import canvas
+from weft.plans import canvas, programs
+from weft.plans.expected import CASES
 from weft.queries import query
 from weft.sources import adapter as A
+from weft.sources.folders import work_folder
 
 STATE = "case et when 'purchase' then 'FINISHED' when 'error' then 'FINISHED' when 'view' then 'RUNNING' when 'click' then 'CANCELLED' else 'PENDING' end"
 MEMBERS = f"{A.EV}, mem as (select u, k % 50 as g, e, et, props, {STATE} as state from ev)"
@@ -52,9 +56,10 @@ def chain_prefix(spark, sf):
     return planner.chain_prefix(c, "conv_id", "turn", (F.col("role") == "assistant") & (F.length("text") > 300)).select("conv_id", "turn", "role", "stop_at")
 
 
-@query("""select conv_id, turn, cast(sum(length(text)) over (partition by conv_id order by turn) as bigint) as received from conversations""")
+@query("""select conv_id, turn, cast(sum(length(text)) over (partition by conv_id order by turn) as bigint) as received from conversations where text is not null""")
 def chain_send_result(spark, sf):
-    return canvas.send_results(A.table(spark, sf, "conversations").withColumn("n", F.length("text").cast("long")), "conv_id", "turn", "n", lambda got, own: F.coalesce(got, F.lit(0).cast("long")) + own).select("conv_id", "turn", F.col("received"))
+    rows = A.table(spark, sf, "conversations").filter("text is not null").withColumn("n", F.length("text").cast("long"))
+    return canvas.send_results(rows, "conv_id", "turn", "n", lambda got, own: got + own, 0)
 
 
 @query("select p_partkey, p_size * 2 as doubled, p_size + 1 as incremented from part")
@@ -104,9 +109,50 @@ def step_reasons(spark, sf):
     return steps(spark, sf).filter("reasons <> ''").select("p_type", "reasons")
 
 
-@query("select distinct p_type as step from part where p_size > 48 and starts_with(p_type, 'E')")
+@query("select distinct p_type || '/' || p_brand as step from part where p_size > 48 and starts_with(p_type, 'E')")
 def steps_done(spark, sf):
-    return A.table(spark, sf, "part").filter(F.col("p_size") > 48).filter(F.startswith("p_type", F.lit("E"))).select(F.col("p_type").alias("step")).distinct()
+    """Steps are marked as done in a folder, and those under a prefix listed again."""
+    folder = work_folder(spark)
+    done = A.table(spark, sf, "part").filter("p_size > 48").select(F.concat_ws("/", "p_type", "p_brand").alias("step")).distinct()
+    planner.mark_done(done, "step", folder)
+    return planner.steps_done(spark, folder, "E")
+
+
+@query(f"""with {G} select g, e, state, state in ('FINISHED', 'CANCELLED') as done, state <> 'FINISHED' as cancel, case when state <> 'FINISHED' then 'CANCELLED' else state end as after_cancel,
+  case when state = 'FINISHED' and not failed then result end as result from mem""")
+def future_algebra(spark, sf):
+    return members(spark, sf).select("g", "e", "state", *planner.future_columns(F.col("state"), F.col("result"), F.col("failed")))
+
+
+def plan_rows():
+    """(case, value) of small plans, run in the driver: what each way of composing tasks gives."""
+    from weft.plans import cases
+
+    return [(name, json.dumps(value, sort_keys=True)) for name, value in cases.run()]
+
+
+@query("select * from (values " + ", ".join("('{}', '{}')".format(n, v.replace("'", "''")) for n, v in CASES) + ") as t(name, value)")
+def plan_cases(spark, sf):
+    return spark.createDataFrame(plan_rows(), "name string, value string")
+
+
+@query("select n_nationkey, lower(n_name) as lower, n_name || '!' as marked from nation")
+def external_program(spark, sf):
+    """Names through two external programs, one of which comes along with the tasks."""
+    programs.bring(spark, {"to-lower": programs_script()})
+    n = A.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    n = programs.pipe(n, "n_name", ["to-lower"], "lower", binaries=("to-lower",))
+    return programs.pipe(n, "n_name", ["sed", "s/$/!/"], "marked").select("n_nationkey", "lower", "marked")
+
+
+def programs_script() -> str:
+    import os
+    import tempfile
+
+    path = os.path.join(tempfile.mkdtemp(prefix="weft-bin-"), "to-lower")
+    with open(path, "w") as f:
+        f.write("#!/bin/sh\nexec tr A-Z a-z\n")
+    return path
 
 
 @query(f"""with {A.EV} select u, count(*) filter (where et = 'error' and k % 2 = 0) as handled, count(*) filter (where et = 'error' and k % 2 = 1) as unhandled, string_agg(case when et = 'error' and k % 2 = 1 then 'TaskFailed: ' || props end, ';' order by e) as messages from ev group by u""")

@@ -9,20 +9,20 @@ from weft.operators import fold, inspect
 from weft.queries import query
 from weft.schemas import EVENT_NAMES, INITIAL
 from weft.sources import adapter as A
+from weft.sources import history
+from weft.sources.folders import work_folder
 
 
-def state_sql(states, extra="", keys="u, id", log="act", retry=True):
-    cols = ",\n  ".join(f"arg_max(us, e) filter (where st = '{s}') as {c}" for c, s in states.items())
-    more = ",\n  coalesce(nullif(sum(case when st in ('failed', 'timed_out') then 1 else 0 end), 0) - 1, null)::bigint as retry" if retry else ""
+def state_sql(times, values=None, keys="u, id", log="act", retry=True, extra=""):
+    held = lambda s: ", ".join(f"'{x}'" for x in ([s] if isinstance(s, str) else s))
+    cols = [f"arg_max(us, e) filter (where st = '{s}') as {c}" for c, s in times.items()]
+    cols += [f"arg_max({source}, e) filter (where st in ({held(s)})) as {c}" for c, (s, source) in (values or {}).items()]
+    more = ["coalesce(nullif(sum(case when st in ('failed', 'timed_out') then 1 else 0 end), 0) - 1, null)::bigint as retry"] if retry else []
     return f"""select {keys}, arg_max(st, e) as last_state, min(e) as first_event, max(e) as last_event,
-  {cols}{extra}{more} from {log} group by {keys}"""
+  {", ".join([*cols, *more])}{extra} from {log} group by {keys}"""
 
 
-ACT_STATES = {f"{s}_us": s for s in ("scheduled", "started", "completed", "failed", "timed_out")}
-ACT_EXTRA = """, arg_max(e, e) filter (where st = 'scheduled') as scheduled_id, arg_max(props, e) filter (where st = 'scheduled') as input,
-  arg_max(props, e) filter (where st = 'completed') as result, arg_max(props, e) filter (where st = 'failed') as reason,
-  arg_max(value, e) filter (where st = 'timed_out') as timeout_value"""
-FOLD = f"{A.ACT}, fold as ({state_sql(ACT_STATES, ACT_EXTRA)})"
+FOLD = f"{A.ACT}, fold as ({state_sql(fold.ACTIVITY_TIMES, fold.ACTIVITY_VALUES)})"
 
 
 @query(f"with {FOLD} select * from fold")
@@ -30,37 +30,70 @@ def activity_fold(spark, sf):
     return fold.activities(A.activity_log(spark, sf))
 
 
-CHILD_STATES = {"initiated_us": "start_initiated", "started_us": "started", "completed_us": "completed", "failed_us": "failed", "canceled_us": "canceled"}
-CHILD_EXTRA = """, arg_max(e, e) filter (where st = 'start_initiated') as initiated_id, arg_max(props, e) filter (where st = 'start_initiated') as input,
-  arg_max(props, e) filter (where st = 'completed') as result, arg_max(props, e) filter (where st = 'failed') as reason,
-  arg_max(props, e) filter (where st = 'canceled') as details"""
 KIDS = A.entity_sql("kid", A.CHILD, 3, "start_initiated")
+KID_FOLD = f"{KIDS}, kf as ({state_sql(fold.CHILD_TIMES, fold.CHILD_VALUES, log='kid')})"
 
 
-@query(f"with {A.EV}, {KIDS} {state_sql(CHILD_STATES, CHILD_EXTRA, log='kid')}")
+def child_log(spark, sf):
+    return A.entity_log(A.events(spark, sf), A.CHILD, 3, "start_initiated")
+
+
+@query(f"with {A.EV}, {KID_FOLD} select * from kf")
 def child_workflow_fold(spark, sf):
-    return fold.children(A.entity_log(A.events(spark, sf), A.CHILD, 3, "start_initiated"))
+    return fold.children(child_log(spark, sf))
+
+
+WF_LOG = f"wfl as (select *, {A.states_sql(A.WORKFLOW, 1)} as st from ev)"
+WF = f"{WF_LOG}, wf as (select * from wfl where st not in ('signaled', 'cancel_requested', 'cancel_failed'))"
+WF_FOLD = f"{WF}, wff as ({state_sql(fold.WORKFLOW_TIMES, fold.WORKFLOW_VALUES, 'u', 'wf', False)})"
 
 
-WF_STATES = {f"{s}_us": s for s in ("started", "completed", "failed", "timed_out", "canceled")}
-WF_EXTRA = """, arg_max(e, e) filter (where st = 'started') as started_id, arg_max(props, e) filter (where st = 'started') as input,
-  arg_max(props, e) filter (where st = 'completed') as result, arg_max(props, e) filter (where st = 'failed') as reason"""
+def workflow_log(spark, sf):
+    log = A.events(spark, sf)
+    return log.withColumn("st", A.states(F.col("et"), F.col("k"), A.WORKFLOW, 1))
 
 
-@query(f"with {A.EV}, wf as (select *, {A.case_sql('et', A.WORKFLOW)} as st from ev) {state_sql(WF_STATES, WF_EXTRA, 'u', 'wf', False)}")
+@query(f"with {A.EV}, {WF_FOLD} select * from wff")
 def workflow_fold(spark, sf):
-    return fold.workflows(A.events(spark, sf).withColumn("st", A.mapped(F.col("et"), A.WORKFLOW)))
+    return fold.workflows(workflow_log(spark, sf))
+
+
+@query(f"""with {A.EV}, {WF_LOG}, n as (select * from wfl where st in ('cancel_requested', 'cancel_failed'))
+select u, """ + ", ".join(f"arg_max({x}, e) filter (where st = '{s}') as {s}_{c}" for s in ("cancel_requested", "cancel_failed") for x, c in (("e", "id"), ("us", "us"), ("props", "cause"))) + " from n group by u")
+def workflow_notices(spark, sf):
+    return fold.notices(workflow_log(spark, sf))
+
 
+def since(state, value, name):
+    held = f"filter (where st = '{state}')"
+    return f"case when coalesce(max(e) {held} > max(e) filter (where st = 'started'), true) then arg_max({value}, e) {held} end as {name}"
 
-@query(f"""with {A.EV}, {A.entity_sql('tm', A.TIMER, 7, 'started')} {state_sql({f'{s}_us': s for s in ('started', 'fired', 'canceled')},
-  ", arg_max(e, e) filter (where st = 'started') as started_id, arg_max(props, e) filter (where st = 'started') as control", log='tm', retry=False)}""")
+
+TM = A.entity_sql("tm", A.TIMER, 7, "started")
+TM_FOLD = f"""{TM}, tf as (select u, id, arg_max(st, e) as last_state, min(e) as first_event, max(e) as last_event, arg_max(us, e) filter (where st = 'started') as started_us,
+  max(e) filter (where st = 'started') as started_id, arg_max(props, e) filter (where st = 'started') as control, {", ".join(since(s, v, f"{s}_{c}") for s in fold.TIMER_STATES for v, c in (("us", "us"), ("e", "id")))},
+  {since("start_failed", "props", "cause")} from tm group by u, id)"""
+
+
+@query(f"with {A.EV}, {TM_FOLD} select * from tf")
 def timers_fold(spark, sf):
     return fold.timers(A.entity_log(A.events(spark, sf), A.TIMER, 7, "started"))
 
 
+@query(f"""with {A.EV}, {TM_FOLD}, w as (select u, unnest(range(0, 9)) as id from (select distinct u from ev)), x as (select *, id % 2 = 1 as cancel from w)
+select x.u, x.id, x.cancel, case when cancel and canceled_id is null and cancel_failed_id is null then null else last_state end as state from x left join tf using (u, id)""")
+def timer_lookup(spark, sf):
+    wanted = A.events(spark, sf).select("u").distinct().select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(8).cast("long"))).alias("id")).withColumn("cancel", F.col("id") % 2 == 1)
+    return inspect.find_timers(wanted, timers_fold(spark, sf))
+
+
 def external_sql(states, keys):
     a, b, c = states
-    return state_sql({"initiated_us": a, "delivered_us": b, "failed_us": c}, f", arg_max(props, e) filter (where st = '{a}') as control, arg_max(props, e) filter (where st = '{c}') as cause", keys, "xt", False)
+    return state_sql({"initiated_us": a, "delivered_us": b, "failed_us": c}, {"control": (a, "props"), "cause": (c, "props")}, keys, "xt", False)
+
+
+XT = A.entity_sql("xt", A.EXTERNAL, 11, "signal_execution_initiated")
+EXT_FOLD = f"{XT}, xf as ({external_sql(('signal_execution_initiated', 'execution_signaled', 'signal_execution_failed'), 'u, origin')})"
 
 
 @query(f"with {A.EV}, {A.entity_sql('xt', A.EXTERNAL, 11, 'signal_execution_initiated')} " + external_sql(("signal_execution_initiated", "execution_signaled", "signal_execution_failed"), "u, origin"))
@@ -86,6 +119,14 @@ def decision_cursor(spark, sf):
     return fold.decision_cursor(A.events(spark, sf))
 
 
+@query(f"""with {A.EV}, m as (select u, max(e) as e from ev group by u union select u, e from ev where et = 'click'), d as (select u, e as d from ev where et = 'purchase')
+select m.u, m.e, max(d.d) as decision_id from m left join d on m.u = d.u and d.d < m.e group by m.u, m.e""")
+def decision_before(spark, sf):
+    log = A.events(spark, sf)
+    moments = log.groupBy("u").agg(F.max("e").alias("e")).unionByName(log.filter("et = 'click'").select("u", "e")).distinct()
+    return fold.decision_before(log.select("u", "e", (F.col("et") == "purchase").alias("done")), moments)
+
+
 @query(f"with {A.EV} select u, et as name, max(e) as event_id, arg_max(us, e) as us, arg_max(props, e) as input from ev group by u, et")
 def signals_latest(spark, sf):
     return fold.signals_latest(A.events(spark, sf))
@@ -123,12 +164,12 @@ def marker_lists(spark, sf):
     return marker_log(spark, sf).groupBy("u", "name").agg(F.array_join(items, ",").alias("markers"), F.count("*").alias("n"))
 
 
-@query(f"""with {MARK}, wanted as (select distinct u, name, props from mk where e % 10 = 0),
+@query(f"""with {MARK}, wanted as (select distinct u, name, props from mk),
 m as (select u, name, props, max(e) as event_id from mk where st = 'recorded' group by u, name, props)
 select w.u, w.name, w.props as details, m.event_id from wanted w left join m using (u, name, props)""")
 def marker_match(spark, sf):
     log = marker_log(spark, sf)
-    wanted = log.filter("e % 10 = 0").select("u", "name", "props").distinct()
+    wanted = log.select("u", "name", "props").distinct()
     last = log.filter("st = 'recorded'").groupBy("u", "name", "props").agg(F.max("e").alias("event_id"))
     return wanted.join(last, ["u", "name", "props"], "left").withColumnRenamed("props", "details")
 
@@ -172,6 +213,22 @@ def history_latest_n(spark, sf):
     return inspect.latest_n(A.events(spark, sf), 3).select("u", "e", "et")
 
 
+@query(f"""with {A.EV}, r as (select *, row_number() over (partition by u order by e desc) as n from ev)
+select u, e, et, (n - 1) // 4 + 1 as page from r where n <= 10""")
+def history_pages(spark, sf):
+    return inspect.pages(A.events(spark, sf), max_results=10, page_size=4, reverse=True).select("u", "e", "et", "page")
+
+
+@query(f"""with {A.ACT} select u, e, st, id, origin from act where origin is not null and st not in {A.OPENS}""")
+def event_resolution(spark, sf):
+    """The entity of each event, through the event that it refers to: an equi-join on event ids."""
+    log = A.activity_log(spark, sf).filter(F.col("origin").isNotNull() & ~F.col("st").isin(*A.OPENS))
+    attrs = F.when(F.col("st") == "scheduled", F.to_json(F.struct(F.col("id").alias("activityId")))).otherwise(F.to_json(F.struct(F.col("origin").alias("scheduledEventId"))))
+    events = log.select(F.col("u").alias("execution"), F.col("e").alias("event_id"), F.lit("ActivityTask").alias("type"), F.col("st").alias("state"), attrs.alias("attrs"))
+    found = history.resolve(events, "ActivityTask", "scheduled", "scheduledEventId", "activityId")
+    return found.select(F.col("execution").alias("u"), F.col("event_id").alias("e"), F.col("state").alias("st"), F.col("id").cast("long").alias("id"), "origin")
+
+
 @query(f"with {A.EV} select u, e, et from (select *, row_number() over (partition by u order by e) - 1 as p, count(*) over (partition by u) as n from ev) where p >= 2 and p < n - 2")
 def history_slice(spark, sf):
     return inspect.between(A.events(spark, sf), 2, -2).select("u", "e", "et")
@@ -184,6 +241,12 @@ def history_reversed(spark, sf):
     return A.events(spark, sf).select("u", "e", "et", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("e"))).cast("long").alias("pos"))
 
 
+@query("""select conv_id as u, arg_max(role, turn) in ('assistant', 'user') as finished from conversations group by conv_id""")
+def history_finished_all(spark, sf):
+    log = A.table(spark, sf, "conversations").select(F.col("conv_id").alias("u"), F.col("turn").alias("e"), F.lit("WorkflowExecution").alias("type"), A.mapped(F.col("role"), {"assistant": "completed", "user": "timed_out", "system": "signaled"}).alias("st"))
+    return inspect.finished(log, all_terminal=True)
+
+
 @query("""select conv_id as u, arg_max(role, turn) = 'assistant' as finished from conversations group by conv_id""")
 def history_finished(spark, sf):
     log = A.table(spark, sf, "conversations").select(F.col("conv_id").alias("u"), F.col("turn").alias("e"), F.lit("WorkflowExecution").alias("type"), A.mapped(F.col("role"), {"assistant": "completed", "user": "started", "system": "signaled"}).alias("st"))
@@ -251,3 +314,32 @@ def event_id_lookup(spark, sf):
 def payload_lookup(spark, sf):
     p = F.col("props")
     return A.events(spark, sf).select("u", "e", names.workflow_name(p, F.col("et")).alias("name"), F.get_json_object(p, "$.k").alias("k"), F.get_json_object(p, "$.a.b").alias("missing"))
+
+
+N_BLOCK = len(history.BLOCK)
+
+
+def block_sql(i):
+    return f"({[b[i] for b in history.BLOCK]})[(p - 1) % {N_BLOCK} + 1]".replace("None", "null")
+
+
+@query(f"""with r as (select x.range as execution, p.range as p, (p.range - 1) // {N_BLOCK} as a, (p.range - 1) % {N_BLOCK} as step, x.range % 7 = 6 as asked from range(40) x, range({5 * N_BLOCK + 3}) p),
+f as (select *, p between 1 and {5 * N_BLOCK} as inside, p = {5 * N_BLOCK + 2} as last from r where asked or p <> {5 * N_BLOCK + 1}),
+g as (select *, case when last and not asked then p else p + 1 end as event_id from f)
+select execution, event_id, case when inside then {block_sql(0)} else 'WorkflowExecution' end as type,
+  case when inside then coalesce({block_sql(1)}, case when (execution * 7 + a * 3 + step + 1) % 5 = 0 then 'failed' else 'completed' end) when p = 0 then 'started' when last then case when asked then 'canceled' else 'completed' end else 'cancel_requested' end as state,
+  case when inside then {block_sql(2)} || '-' || (a + 1) else 'workflow-' || execution end as id, event_id * 1000000 + execution % 1000 as us from g""")
+def synthetic_history(spark, sf):
+    return history.synthetic(spark, 40, 5, 1)
+
+
+@query(f"""with {A.ACT} select cast(u as varchar) as execution, e as event_id, 'ActivityTask' as type, st as state, us, case when st = 'scheduled' then '{{"activityId":"a-' || id || '","input":' || to_json(props) || '}}' else '{{"scheduledEventId":' || origin || '}}' end as attrs
+from act where st in ('scheduled', 'started', 'completed', 'failed', 'timed_out', 'canceled') and origin is not null""")
+def history_files(spark, sf):
+    """Histories are written as files of raw events and read again."""
+    log = A.activity_log(spark, sf).filter("st in ('scheduled', 'started', 'completed', 'failed', 'timed_out', 'canceled') and origin is not null")
+    attrs = F.when(F.col("st") == "scheduled", F.to_json(F.struct(F.concat(F.lit("a-"), "id").alias("activityId"), F.col("props").alias("input")))).otherwise(F.to_json(F.struct(F.col("origin").alias("scheduledEventId"))))
+    folder = work_folder(spark)
+    history.write_histories(log.select(F.col("u").alias("execution"), F.col("e").alias("event_id"), F.concat(F.lit("ActivityTask"), names.camel(F.col("st"))).alias("name"), "us", attrs.alias("attrs")), folder)
+    got = history.normalise(history.read_history_lines(spark, folder))
+    return got.select("execution", "event_id", "type", "state", names.micros(F.col("ts")).alias("us"), "attrs")
