@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weft.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
-from weft.llm.common import fold, table, written
+from weft.llm.common import fold, fresh, scratch, table, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; it is fitted as the op7 query's."""
     model = quality.train(docs, table(spark, sf_dir, "labels"), lambda k: fold(k, 4) != 2)
-    return quality.score(docs, model, out_col="quality_score").filter("quality_score >= 0.7").select(*docs.columns)
+    score = fresh("quality_score", docs)
+    return quality.score(docs, model, out_col=score).filter(F.col(score) >= 0.7).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +44,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written and read again."""
+    """All stages over ``documents``; each stage's result is written and read again, and the tables it worked with are deleted."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with scratch() as kept:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
