@@ -11,11 +11,10 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from weft.llm.common import shared_dir, text_or_empty, written
+from weft.llm.common import fresh, one_of_each, shared_dir, text_or_empty, written
 
 #: Fixed values of the contract: the characters that are deleted, [\x20\x09-\x0D].
 DELETED = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -168,16 +167,14 @@ def by_text(src: DataFrame, bad: DataFrame, digest) -> DataFrame:
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns. Of rows that repeat id and text, one stays."""
-    kept = dedup(df, id_col, text_col).filter("kept").select(F.col(id_col).alias("k_id"), F.col("text_sha256").alias("k_sha"))
+    """The rows of ``df`` that stay, with all their columns. Of rows that repeat id and text, one stays.
 
-    def sha_of(batches):
-        for b in batches:
-            at = b.schema.get_field_index(text_col)
-            shas = [hashlib.sha256((t or "").encode("utf-8", "surrogatepass").translate(None, DELETED)).hexdigest() for t in b.column(at).to_pylist()]
-            yield b.append_column("k_row_sha", pa.array(shas, pa.string()))
-
-    with_sha = df.mapInArrow(sha_of, T.StructType([*df.schema.fields, T.StructField("k_row_sha", T.StringType())]))
-    met = with_sha.join(written(kept, "kept"), F.expr(f"`{id_col}` <=> k_id and k_row_sha = k_sha"))
-    n = F.row_number().over(Window.partitionBy(F.col(id_col), F.col("k_row_sha")).orderBy(F.length(text_or_empty(text_col)).desc()))
-    return met.withColumn("k_n", n).filter("k_n = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    What stays is settled on slim keys; whole rows are shuffled once, by a key of id and normalised
+    text. Columns of ``df`` may have any names.
+    """
+    row_key = lambda i, sha: F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("null")), sha)
+    key = fresh("copy_key", df)
+    text = text_or_empty(F.col(f"`{text_col}`"))
+    kept = written(dedup(df, id_col, text_col).filter("kept").select(row_key(F.col(id_col), F.col("text_sha256")).alias(key)), "kept")
+    rows = df.withColumn(key, row_key(F.col(f"`{id_col}`").cast("long"), F.sha2(F.translate(text, DELETED.decode(), ""), 256)))
+    return one_of_each(rows.join(kept, key), key, F.length(text).desc()).select(*[F.col(f"`{c}`") for c in df.columns])
