@@ -63,6 +63,21 @@ def test_html_priors():
     assert html_extract.main_text(listed).split("\n") == [LONG.strip(), *"x" * 9]
 
 
+def test_html_misleading_classes():
+    """Class words that only look like boilerplate keep nothing out where the text is theirs."""
+    story = f"<body><div class='top-menu'><p>Home</p></div><div class='share-story content'><p>{LONG}</p><p>{LONG}</p></div><div class='links'><p>More</p></div></body>"
+    assert html_extract.main_text(story).split("\n") == [LONG.strip(), LONG.strip()]
+
+
+def test_html_surges_decide(monkeypatch):
+    """Without the surges another text comes out: weights alone don't choose it."""
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "Sport", "Shop", "Contact"))
+    page = f"<body><div>{menu}</div><div><p>{LONG}</p><p>{LONG}</p></div><div>{menu}</div></body>"
+    assert html_extract.main_text(page).split("\n") == [LONG.strip(), LONG.strip()]
+    monkeypatch.setattr(html_extract, "surges", lambda weights, *_: [(i, i + 1) for i, w in enumerate(weights) if w > 0])
+    assert "Home" in html_extract.main_text(page)
+
+
 def test_surges():
     assert html_extract.surges([0, 0, 5, 0, 5, 0, 0, 0, 7, 0], 2, 1) == [(2, 5), (8, 9)]
 

@@ -8,10 +8,14 @@ distance.
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.llm.common import worker_cache
+
 #: Edits allowed, per character of the item.
 RATE = 0.08
 #: Characters of items in one automaton; a larger benchmark is matched in blocks of this size.
@@ -107,12 +111,12 @@ def match_text(text: str, automaton, items, rate: float):
 
 
 def matchers(benchmark: DataFrame, item_col: str, item_text_col: str, rate: float):
-    """A factory per block of test items, broadcast: it makes the function text -> [(item, end, edits)]."""
+    """A factory per block of test items, broadcast: it gives the function text -> [(item, end, edits)], made once a worker."""
     listed = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).filter("t is not null").orderBy("i", "t")
     for block in blocks([(i, n) for i, t in listed.toLocalIterator() if (n := normalise(t))]):
         shared = benchmark.sparkSession.sparkContext.broadcast(block)
 
-        def make(shared=shared):
+        def build(shared=shared):
             import ahocorasick
 
             items = [(i, t, peq(t)) for i, t in shared.value]
@@ -126,7 +130,8 @@ def matchers(benchmark: DataFrame, item_col: str, item_text_col: str, rate: floa
             automaton.make_automaton()
             return lambda text: [(items[i][0], z, d) for i, z, d in match_text(normalise(text or ""), automaton, items, rate)]
 
-        yield make
+        name = f"benchmark:{uuid.uuid4().hex}"
+        yield lambda name=name, build=build: worker_cache(name, build)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rate: float = RATE) -> DataFrame:
