@@ -67,6 +67,8 @@ def test_html_misleading_classes():
     """Class words that only look like boilerplate keep nothing out where the text is theirs."""
     story = f"<body><div class='top-menu'><p>Home</p></div><div class='share-story content'><p>{LONG}</p><p>{LONG}</p></div><div class='links'><p>More</p></div></body>"
     assert html_extract.main_text(story).split("\n") == [LONG.strip(), LONG.strip()]
+    inside = f"<body><nav>Menu</nav><article><p>{LONG}</p><p class='notice-period'>{LONG}</p><section class='search-results-discussion'><p>{LONG}</p></section><div class='ad-slot-1 wide'>{LONG}</div></article></body>"
+    assert html_extract.main_text(inside).split("\n") == [LONG.strip()] * 3
 
 
 def test_html_surges_decide(monkeypatch):

@@ -27,6 +27,8 @@ BOILER = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button"
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 # Words in class, id or role that mark boilerplate.
 MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "contentinfo", "complementary", "alert", "alertdialog"}
+# Words that say no more than that something is a part of a page.
+PLAIN = {"area", "bar", "block", "bottom", "box", "button", "buttons", "column", "container", "content", "form", "group", "head", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "module", "outer", "page", "panel", "post", "posts", "right", "row", "section", "site", "slot", "title", "top", "unit", "wrap", "wrapper"}
 #: Elements that a missing end tag doesn't keep open past the start of another.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -49,14 +51,15 @@ SPACE = re.compile(r"\s+")
 
 
 def marked(attrs: str) -> bool:
-    """Whether class, id or role says boilerplate."""
+    """Whether a name in class, id or role says boilerplate: it has a word that marks it, and no word of another meaning."""
     if not attrs or attrs.isspace():
         return False
     for m in ATTR.finditer(attrs):
         value = next(x for x in m.groups() if x is not None)
-        words = WORDS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())
-        if not MARKS.isdisjoint(words):
-            return True
+        for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().split():
+            words = [w for w in WORDS.split(name) if w]
+            if any(w in MARKS for w in words) and all(w in MARKS or w in PLAIN or w.isdigit() for w in words):
+                return True
     return False
 
 
