@@ -102,3 +102,46 @@ def test_task_columns(spark):
     triple = task("triple")(lambda x: x * 3)
     triple.register(spark, "long")
     assert [r[0] for r in spark.sql("select triple(id) from range(3)").collect()] == [0, 3, 6]
+
+
+def test_decision_attributes():
+    from weft.operators import planner
+
+    with pytest.raises(TypeError, match="timerId"):
+        planner.decision("CancelWorkflowExecution", timerId=None)
+    assert len(planner.DECISIONS) == 13
+
+
+def test_pipe(spark):
+    from weft.plans import programs
+
+    df = spark.createDataFrame([(1, "b\na"), (2, None), (3, "x y")], "id long, t string").coalesce(1)
+    assert [r.out for r in programs.pipe(df, "t", ["tr", "a-z", "A-Z"], "out").orderBy("id").collect()] == ["B A", "", "X Y"]
+    with pytest.raises(Exception, match="lines for"):
+        programs.pipe(df, "t", ["head", "-n", "1"], "out").collect()
+
+
+def test_time_limits():
+    from weft.plans.tasks import TIMEOUTS, timeouts
+
+    assert sorted(timeouts()) == sorted(TIMEOUTS)
+    with pytest.raises(TypeError, match="start"):
+        timeouts(start=None)
+
+
+def test_settings(tmp_path, monkeypatch):
+    from weft import settings
+
+    (tmp_path / "own_settings.py").write_text("STEP_BUCKET = 'module'\nMETROLOGY_BUCKET = 'module'\n")
+    monkeypatch.syspath_prepend(tmp_path)
+    got = settings.load("own_settings", {"STEP_BUCKET": "env"})
+    assert (got["STEP_BUCKET"], got["METROLOGY_BUCKET"], got["ACTIVITY_DEFAULT_VERSION"]) == ("env", "module", "default")
+    assert list(got) == sorted(got)
+
+
+def test_send_results_any_function(spark):
+    from weft.plans.canvas import send_results
+
+    df = spark.createDataFrame([(k, p, f"{k}{p}") for k in (1, 2) for p in range(5)], "k long, p long, x string").repartition(3)
+    got = {(r.k, r.p): r.received for r in send_results(df, "k", "p", "x", lambda before, own: f"{before}>{own}", "").collect()}
+    assert got[1, 4] == ">10>11>12>13>14" and got[2, 0] == ">20" and len(got) == 10
