@@ -148,30 +148,39 @@ def replay(plan: DataFrame, entities: DataFrame, executions: DataFrame, most: in
     ``most`` - 1, with a timer that wakes the execution if there are more.
     """
     found = entities.select("u", "id", "last_state", "retry", "result", "reason")
-    rows = plan.join(found, ["u", "id"], "left").join(executions, "u")
-    state, failed = F.col("last_state"), F.col("last_state").isin(*("failed", "timed_out"))
+    rows = executions.join(plan, "u", "left").join(found, ["u", "id"], "left")
+    # What comes at or after fail_at is never submitted.
+    mine = F.col("id").isNotNull() & (F.col("fail_at").isNull() | (F.col("pos") < F.col("fail_at")))
+    state, failed = F.col("last_state"), F.coalesce(F.col("last_state").isin("failed", "timed_out"), F.lit(False))
     again = failed & (F.coalesce("retry", F.lit(0)) < F.col("max_retry"))
     outcome = F.when(state.isNull() | (state == "schedule_failed") | again, "schedule").when(failed & F.col("raises"), "error").when(failed | state.isin("completed", "canceled"), "done").otherwise("pending")
-    rows = rows.withColumn("outcome", outcome).filter(F.col("fail_at").isNull() | (F.col("pos") < F.col("fail_at")))
+    rows = rows.withColumn("outcome", F.when(mine, outcome))
     problem = F.when(state == "failed", F.coalesce("reason", F.lit(""))).otherwise("TimeoutError()")
     text = F.concat(F.lit("Workflow execution error in "), F.col("name"), F.lit(': "'), problem, F.lit('"'))
-    per = rows.groupBy("u").agg(F.min_by(text, F.when(F.col("outcome") == "error", F.col("pos"))).alias("raised"), F.bool_and(F.col("outcome") == "done").alias("all_done"), F.count_if(F.col("outcome") == "schedule").alias("n"), F.array_sort(F.collect_list(F.struct("pos", F.when(state == "completed", F.col("result")).alias("r")))).alias("results"))
-    ends = executions.join(per, "u", "left")
-    results = F.to_json(F.transform(F.coalesce("results", F.array().cast("array<struct<pos:bigint,r:string>>")), lambda x: x["r"]))
+    # All of an execution is settled in windows over its rows: one shuffle beside the joins.
+    whole, so_far = Window.partitionBy("u"), Window.partitionBy("u").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    todo = F.when(F.col("outcome") == "schedule", 1).otherwise(0)
+    result = F.struct("pos", F.when(state == "completed", F.col("result")).alias("r"))
+    rows = rows.withColumn("raised", F.min_by(text, F.when(F.col("outcome") == "error", F.col("pos"))).over(whole)).withColumn("all_done", F.coalesce(F.bool_and(F.col("outcome") == "done").over(whole), F.lit(True)))
+    rows = rows.withColumn("n", F.sum(todo).over(whole)).withColumn("seq", F.sum(todo).over(so_far)).withColumn("first", F.row_number().over(Window.partitionBy("u").orderBy("pos")) == 1)
+    rows = rows.withColumn("results", F.array_sort(F.collect_list(F.when(F.col("outcome").isNotNull(), result)).over(whole)))
     # With all reasons to end in order, the first that holds is the only decision, but for its own failure.
     end = F.when(F.col("error").isNotNull(), decision("FailWorkflowExecution", reason=F.concat(F.lit("Cannot replay the workflow: "), F.col("error"))))
     end = end.when(F.col("cancel"), F.struct(F.lit("CancelWorkflowExecution").alias("decision_type"), F.lit("{}").alias("attrs")))
     end = end.when(F.col("raised").isNotNull(), decision("FailWorkflowExecution", reason=F.col("raised")))
     own = decision("FailWorkflowExecution", reason=F.concat(F.lit("Workflow execution failed: "), F.col("fail_reason")))
-    end = end.when(F.col("fail_at").isNotNull(), own).when(F.coalesce("all_done", F.lit(True)), decision("CompleteWorkflowExecution", result=results))
-    alone = F.col("error").isNotNull() | F.col("cancel") | F.col("raised").isNotNull()
-    ends = ends.withColumn("end", end).withColumn("goes_on", ~F.coalesce(alone, F.lit(False)) & (F.col("end").isNull() | F.col("fail_at").isNotNull()))
-    w = Window.partitionBy("u").orderBy("pos")
-    todo = rows.filter("outcome = 'schedule'").join(ends.filter("goes_on").select("u"), "u").withColumn("seq", F.row_number().over(w).cast("long")).filter(F.col("seq") < most)
-    scheduled = todo.select("u", "seq", decision("ScheduleActivityTask", activityId=F.concat("name", F.lit("-"), F.col("id"))).alias("d"))
-    closing = ends.filter("end is not null").select("u", F.when(F.col("goes_on"), F.least("n", F.lit(most - 1)) + 1).otherwise(1).cast("long").alias("seq"), F.col("end").alias("d"))
-    waking = ends.filter(F.col("goes_on") & F.col("end").isNull() & (F.col("n") >= most - 1)).select("u", F.lit(most).cast("long").alias("seq"), decision("StartTimer", timerId=F.lit("wake-up"), startToFireTimeout=F.lit("0.0")).alias("d"))
-    return scheduled.unionByName(closing).unionByName(waking).select("u", "seq", "d.decision_type", "d.attrs")
+    end = end.when(F.col("fail_at").isNotNull(), own).when(F.col("all_done"), decision("CompleteWorkflowExecution", result=F.to_json(F.transform("results", lambda x: x["r"]))))
+    alone = F.col("error").isNotNull() | F.coalesce("cancel", F.lit(False)) | F.col("raised").isNotNull()
+    rows = rows.withColumn("end", end).withColumn("goes_on", ~alone & (F.col("end").isNull() | F.col("fail_at").isNotNull()))
+    at = lambda seq, what: F.struct(seq.cast("long").alias("seq"), what["decision_type"].alias("decision_type"), what["attrs"].alias("attrs"))
+    start = decision("ScheduleActivityTask", activityId=F.concat("name", F.lit("-"), F.col("id")))
+    wake = decision("StartTimer", timerId=F.lit("wake-up"), startToFireTimeout=F.lit("0.0"))
+    made = [
+        F.when(F.col("goes_on") & (F.col("outcome") == "schedule") & (F.col("seq") < most), at(F.col("seq"), start)),
+        F.when(F.col("first") & F.col("end").isNotNull(), at(F.when(F.col("goes_on"), F.least("n", F.lit(most - 1)) + 1).otherwise(1), F.col("end"))),
+        F.when(F.col("first") & F.col("goes_on") & F.col("end").isNull() & (F.col("n") >= most - 1), at(F.lit(most), wake)),
+    ]
+    return rows.select("u", F.explode(F.array_compact(F.array(*made))).alias("d")).select("u", "d.seq", "d.decision_type", "d.attrs")
 
 
 def run_context(executions: DataFrame) -> Column:
