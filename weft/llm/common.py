@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 WS = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of a row group in written tables: what a task holds before it writes.
+ROW_GROUP = 16 << 20
 #: Folders of written tables that are still there, oldest first.
 _folders: list[tuple[SparkSession, str]] = []
 
@@ -39,7 +44,7 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
     folder = shared_dir(spark)
-    df.write.parquet(f"{folder}/{name}")
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(f"{folder}/{name}")
     out = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
     out.__dict__["_weft_folder"] = folder
     return out
@@ -92,16 +97,21 @@ def worker_cache(name: str, make):
     """
     store = sys.modules.setdefault("_weft_worker_cache", types.ModuleType("_weft_worker_cache"))
     if getattr(store, "name", None) != name:
-        store.name, store.value = name, None
-        store.value = make()
+        if getattr(store, "value", None) is not None:
+            store.value = None
+            give_back()
+        store.name, store.value = name, make()
     return store.value
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Send whole texts to Python workers in batches of fewer rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, rows)
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def slices(batches, rows: int = 1000):

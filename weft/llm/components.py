@@ -75,18 +75,20 @@ def label(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(root, pa.int64())], ["node", "root"])
 
 
-def components(edges: DataFrame, local: int = LOCAL_EDGES) -> DataFrame:
+def components(edges: DataFrame, local: int = LOCAL_EDGES, contracted: bool = False) -> DataFrame:
     """(node, root) for every node of an edge table (u, v), root being the least node that is reachable.
 
     Loops (u = v) and repeated edges are allowed; null ends aren't; an empty table gives an empty one.
-    Each partition contracts its edges to stars first. If at most ``local`` edges remain, by count,
+    Each partition contracts its edges to stars first, unless they are ``contracted`` already. If at most ``local`` edges remain, by count,
     one task labels them; while there are more, rounds go on. A round ties every greater neighbour of
     a node to the least one (least ones are found before the shuffle and written, so the join that
     follows can be split at a hub), contracts what a partition has, deals the rest by the greater end,
     of which a partition has one edge at most, and contracts again. Rounds end when an edge table
     repeats itself; it then is one of stars.
     """
-    all_edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).mapInArrow(forest(), SPEC), "edges")
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    # A second Python node in a stage would be a second worker a task.
+    all_edges = written(edges if contracted else edges.mapInArrow(forest(), SPEC), "edges")
     if all_edges.count() <= local:
         return all_edges.coalesce(1).mapInArrow(label, "node long, root long")
     e, before, mark = all_edges.filter("u <> v"), None, ()

@@ -25,7 +25,7 @@ SIEVE_BITS = 1 << 18
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
     # Many small stores: no space is set aside for their logs, and changes are uploaded, not whole stores.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

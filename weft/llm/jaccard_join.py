@@ -29,7 +29,7 @@ from weft.llm.common import drop_written, fresh, one_of_each, text_or_empty, wor
 from weft.llm.components import components
 
 #: Words whose hashes a worker keeps.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 #: Nodes in a block; two blocks meet in a task.
 BLOCK = 512
 #: Keys in a class of a long prefix, about, at most.
@@ -331,7 +331,7 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
     groups = written(groups, "groups")
     listed = groups.select("g", "n", F.transform("seen", lambda x: x["key"]).alias("keys"), F.transform("seen", lambda x: x["c"]).alias("counts"))
     met = listed.mapInArrow(probes(num, den), "key long, lane long, g long, n long, sig binary").repartition("key", "lane").sortWithinPartitions("key", "lane")
-    tied = components(met.mapInArrow(ties(num, den), "u long, v long"))
+    tied = components(met.mapInArrow(ties(num, den), "u long, v long"), contracted=True)
 
     # Groups of a component, or of several nodes, are expanded to their nodes; large components to blocks within bands of size.
     base = math.log(den / num) * (1 + 1e-9) if num < den else 1.0

@@ -22,7 +22,7 @@ from weft.llm.common import text_or_empty, worker_cache, written
 #: Rests of at most capacity / SMALL ids aren't cut further.
 SMALL = 16
 #: Words, and runs of them, whose ids a worker keeps; the first ones it meets.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 #: Tasks whose open bins are closed together.
 POOL = 256
 

@@ -22,7 +22,7 @@ DIMS = 1 << 18
 #: Labelled rows the model is fitted on, at most: those whose ids have the smallest hashes.
 MAX_TRAIN = 10_000
 #: Words whose hashes a worker keeps.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 @dataclass
