@@ -102,7 +102,7 @@ def domain_navigation(spark, sf):
     return A.executions(spark, sf).groupBy("domain", "status").agg(F.count("*").alias("executions"), F.countDistinct("type_name").alias("types"))
 
 
-@query("""select 'c' || c_custkey as id, 'r' || n_regionkey as root, 2 as depth from customer join nation on c_nationkey = n_nationkey
+@query("""select 'c' || c_custkey as id, 'r' || n_regionkey as root, cast(2 as bigint) as depth from customer join nation on c_nationkey = n_nationkey
 union all select 'n' || n_nationkey, 'r' || n_regionkey, 1 from nation union all select 'r' || r_regionkey, 'r' || r_regionkey, 0 from region""")
 def parent_child_tree(spark, sf):
     c, n, r = (A.table(spark, sf, x) for x in ("customer", "nation", "region"))
@@ -112,7 +112,7 @@ def parent_child_tree(spark, sf):
 
 
 @query(f"""with recursive {A.EXEC}, p as (select run_id as id, case when parent_run_id in (select run_id from ex) then parent_run_id end as parent from ex),
-t as (select id, id as root, 0 as depth from p where parent is null union all select p.id, t.root, t.depth + 1 from p join t on p.parent = t.id) select * from t""")
+t as (select id, id as root, cast(0 as bigint) as depth from p where parent is null union all select p.id, t.root, t.depth + 1 from p join t on p.parent = t.id) select * from t""")
 def execution_tree(spark, sf):
     """Executions under the one that started the first of them."""
     ex = A.executions(spark, sf)
@@ -216,7 +216,7 @@ def model_synced(spark, sf):
     return catalog.synced(n, shifted(n).filter("n_nationkey <> 3"), ["n_nationkey"])
 
 
-@query("select n_nationkey as id, case when n_nationkey < 20 then 0 end as root, case when n_nationkey < 20 then n_nationkey end as depth from nation")
+@query("select cast(n_nationkey as bigint) as id, cast(case when n_nationkey < 20 then 0 end as bigint) as root, cast(case when n_nationkey < 20 then n_nationkey end as bigint) as depth from nation")
 def deep_tree(spark, sf):
     """A chain of twenty, and a cycle of the others, which has no root."""
     key = F.col("n_nationkey").cast("long")

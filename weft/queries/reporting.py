@@ -101,7 +101,7 @@ def task_info(spark, sf):
     return activity_fold(spark, sf).select("u", "id", "scheduled_id", "last_state", "input", "result", "reason", "details", "retry", state_us.alias("state_us"))
 
 
-@query(f"""with {FOLD}, w as (select u, min(scheduled_id) as s, 3 as i from fold group by u),
+@query(f"""with {FOLD}, w as (select u, min(scheduled_id) as s, cast(3 as bigint) as i from fold group by u),
 h as (select w.u, w.s, w.i, fold.* exclude (u) from fold join w on fold.u = w.u and (fold.scheduled_id = w.s or fold.id = w.i))
 select u, s as wanted_scheduled_id, i as wanted_id, arg_max(id, first_event) as id, arg_max(coalesce(scheduled_id, -1), first_event) as scheduled_id, arg_max(last_state, first_event) as last_state,
   nullif(arg_max(coalesce(input, ''), first_event), '') as input, nullif(arg_max(coalesce(result, ''), first_event), '') as result from h group by u, s, i""")
