@@ -114,6 +114,18 @@ def give_back() -> None:
         pass
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs run inside the block send at most ``rows`` rows at a time to Python workers, which bounds the memory of both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def slices(batches, rows: int = 1000):
     """Arrow batches in runs of at most ``rows`` rows, which bounds what a worker holds as Python objects."""
     for b in batches:
