@@ -236,6 +236,53 @@ def test_lm_whole_head_has_context(frame):
     assert got[0] / got[1] > -0.3
 
 
+def test_lm_words_outside_of_the_head_have_context(frame, monkeypatch):
+    """All words are outside of the head and in one class by ending: leaves of it are told apart by what stands before."""
+    monkeypatch.setattr(lm_score, "head_words", lambda counts: [])
+    monkeypatch.setattr(lm_score, "LEAF_WORDS", 1, raising=False)
+    ring = [f"{i}zz" for i in range(2048)]
+    rng = random.Random(6)
+    texts = []
+    for i in range(600):
+        at = rng.randrange(len(ring))
+        texts.append((i, " ".join(ring[(at + k) % len(ring)] for k in range(60))))
+    got = lm_score.score(frame(texts), F.lit(True)).agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    # One of 2,048 words costs 3.3, one of a leaf's about 1.5.
+    assert got[0] / got[2] > -2 > -3 > got[1] / got[2]
+
+
+def test_lm_leaves_sum_to_one():
+    """All leaves of words outside of the head, at the finest, each with all of its share, and the head."""
+    rng = np.random.default_rng(3)
+    head = [b"w%d" % i for i in range(300)]
+    totals = rng.integers(1, 9, lm_score.ENDINGS << 5)
+    voc = lm_score.Vocabulary(b" ".join(head), np.arange(301, 0, -1), totals)
+    tables = [lm_score.weights(rng.poisson(0.3, (1 << bits, w))) for bits, w in zip(lm_score.ROW_BITS, lm_score.WIDTHS, strict=True)]
+    scales = lm_score.start_scales()
+    for own in scales:
+        own[1:] = rng.normal(0.3, 0.2, len(own) - 1)
+    net = lm_score.Net(lm_score.scoring_weights(tables, scales), scales, voc)
+    history = [voc.codes[w] for w in (b"w1", b"another", b"w7")]
+    every = [*range(301), *(lm_score.HEAD + leaf for leaf in range(len(totals)))]
+    codes = np.array([c for x in every for c in (*history, x)])
+    starts = np.zeros(len(codes), bool)
+    starts[::4] = True
+    logs = net.run(codes, starts)[3::4]
+    logs[301:] += np.log10(totals)  # P of a leaf, not of one word with a count of none
+    assert abs((10**logs).sum() - 1) < 1e-4
+
+
+def test_lm_leaf_of_a_code():
+    """Words' codes name their leaf, for any number of bits, and fit in 32 bits."""
+    for bits in (0, 3, 12):
+        codes = lm_score.Codes([b""], bits)
+        for i in range(500):
+            word = b"x%d" % i
+            own = codes[word]
+            assert lm_score.HEAD <= own < 1 << 31 and (own - lm_score.HEAD) % (lm_score.ENDINGS << 12) == lm_score.leaf_of(word, bits)
+    assert [lm_score.leaf_bits(n) for n in (0, 511, 512, 10**9)] == [0, 0, 0, 12] and lm_score.leaf_bits(1 << 13) == 4
+
+
 def labelled(n=300):
     rng = random.Random(4)
     good = lambda: " ".join(rng.choice(["the", "of", "and", "walks", "river", "stone", "was", "green"]) for _ in range(40)) + "."
