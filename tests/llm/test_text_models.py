@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,6 +284,18 @@ def test_lm_leaf_of_a_code():
     assert [lm_score.leaf_bits(n) for n in (0, 511, 512, 10**9)] == [0, 0, 0, 12] and lm_score.leaf_bits(1 << 13) == 4
 
 
+def test_lm_sums_pieces_as_a_stream():
+    """Pieces of any number of tasks are added in one pass, few at a time."""
+    rng = np.random.default_rng(2)
+    pieces = [(level, k, rng.integers(0, 9, lm_score.PIECE * lm_score.WIDTHS[level])) for level, k in ((0, 0), (0, 256), (2, 0)) for _ in range(40)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in (levels, ks)] + [pa.array([lm_score.packed(o) for o in own], pa.binary())], ["level", "k", "counts"]) for levels, ks, own in (zip(*pieces[i : i + 7], strict=True) for i in range(0, 120, 7))]
+    got = [r for b in lm_score.summed(batches) for r in b.to_pylist()]
+    assert [(r["level"], r["k"]) for r in got] == [(0, 0), (0, 256), (2, 0)]
+    for i, r in enumerate(got):
+        want = lm_score.weights(sum(own for _, _, own in pieces[40 * i : 40 * i + 40]).reshape(-1, lm_score.WIDTHS[r["level"]]))
+        assert [r["steps"], r["bands"], r["less"]] == [x.tobytes() for x in want]
+
+
 def labelled(n=300):
     rng = random.Random(4)
     good = lambda: " ".join(rng.choice(["the", "of", "and", "walks", "river", "stone", "was", "green"]) for _ in range(40)) + "."
