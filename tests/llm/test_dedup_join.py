@@ -188,3 +188,28 @@ def test_frequent_shingle_in_blocks(frame, monkeypatch):
     rows = list(enumerate(near_copies(rng, 50, 40, 3)))
     got = jaccard_join.near_groups(frame(rows), 3, 90, 100).collect()
     assert sorted(((r.id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_groups(rows, 3, 90, 100)
+
+
+def test_edges_don_t_repeat_for_each_shared_shingle(spark, frame, monkeypatch):
+    """Tasks send on few edges for each group of a large cluster, not one from every shingle where it meets the others."""
+    rng = random.Random(12)
+    rows = list(enumerate(near_copies(rng, 150, 60, 3)))
+    sent = []
+    real = jaccard_join.components
+
+    def counted(edges, *args, **kwargs):
+        sent.append(edges.count())
+        return real(edges, *args, **kwargs)
+
+    monkeypatch.setattr(jaccard_join, "components", counted)
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = jaccard_join.near_groups(frame(rows), 5, 80, 100).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(((r.id, r.n_shingles, r.component_id, r.n_links) for r in got), key=repr) == brute_groups(rows, 5, 80, 100)
+    assert sum(sent) < 4 * len(rows)

@@ -12,8 +12,10 @@ num/den. With n shingles, slack s(n) = floor(n * (1 - num/den)) and l(n) = floor
 
 Pairs of groups that meet at a shingle are filtered by their sizes and by how many shingles their
 prefixes share. The pairs that pass aren't sent on one by one: each task keeps a forest of them, whose
-components hold every pair that passes. Components are expanded to their nodes, in blocks, and all
-pairs of blocks are verified over whole sets.
+components hold every pair that passes. Groups meet twice: first at their most frequent probe alone,
+where most of a large group of near copies is tied, one edge a group; then at all probes, where only
+edges between what isn't tied yet are kept, so they don't repeat for each shingle that copies share.
+Components are expanded to their nodes, in blocks, and all pairs of blocks are verified over whole sets.
 """
 
 from __future__ import annotations
@@ -160,29 +162,30 @@ def classes(n: int, num: int, den: int) -> int:
     return 1 << ((w - 1) // CLASS).bit_length()
 
 
-def probes(num: int, den: int, rows_out: int = 20_000):
-    """A function for mapInArrow over groups (g, n, keys, counts): rows (key, lane, g, n, sig).
+def probes(num: int, den: int, rows_out: int = 20_000, last: bool = False):
+    """A function for mapInArrow over groups (g, home, n, keys, counts): rows (key, lane, g, home, n, sig).
 
     A long prefix is dealt to ``r`` classes: of sets that share l keys some class shares ceil(l / r), and
     so one of the rarest keys of that class, all but that many less one. A row has the signature of
     its key's class alone. Sizes near a step of :func:`classes` take both numbers of classes. At a
-    frequent key there is a row for each block that the group's block meets.
+    frequent key there is a row for each block that the group's block meets. ``last``: only the most
+    frequent probe of each class.
     """
 
     def run(batches):
         import numpy as np
 
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        kinds = (*[pa.int64()] * 5, pa.binary())
 
         def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "lane", "g", "n", "sig"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "lane", "g", "home", "n", "sig"])
 
         rows = []
         for batch in batches:
-            lists, counts = batch.column(2), np.asarray(batch.column(3).flatten())
+            lists, counts = batch.column(3), np.asarray(batch.column(4).flatten())
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths())]).astype(np.int64)
             keys = np.asarray(lists.flatten())
-            for i, (g, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            for i, (g, home, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
                 own, often = keys[ends[i] : ends[i + 1]], counts[ends[i] : ends[i + 1]]
                 least = -(-num * n // den)
                 for r in {classes(least, num, den), classes(n, num, den), classes(n * den // num, num, den)}:
@@ -193,10 +196,10 @@ def probes(num: int, den: int, rows_out: int = 20_000):
                         if len(at) < shared:
                             continue
                         sig = signature(own[at])
-                        for j in at[: len(at) - shared + 1].tolist():
+                        for j in at[len(at) - shared if last else 0 : len(at) - shared + 1].tolist():
                             parts = -(-int(often[j]) // BUCKET)
                             h = (g * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) % parts
-                            rows += [(int(own[j]), lane(r, min(h, o), max(h, o)), g, n, sig) for o in range(parts)]
+                            rows += [(int(own[j]), lane(r, min(h, o), max(h, o)), g, home, n, sig) for o in range(parts)]
                     if len(rows) >= rows_out:
                         yield out(rows)
                         rows = []
@@ -207,10 +210,10 @@ def probes(num: int, den: int, rows_out: int = 20_000):
 
 
 class Pairs:
-    """Filters pairs of groups and keeps the forest of those that pass."""
+    """Filters pairs of groups and keeps the forest of those that pass; a group with a home is tied to it already."""
 
     def __init__(self, num: int, den: int):
-        self.num, self.den, self.up = num, den, {}
+        self.num, self.den, self.up, self.homes = num, den, {}, {}
 
     def root(self, x):
         up = self.up
@@ -221,7 +224,8 @@ class Pairs:
 
     def bucket(self, rows, r: int = 1):
         """Groups (n, g, sig) that meet at one key: any that aren't tied yet are compared, unless their sizes are too far apart."""
-        if len(rows) == 1:
+        home = lambda g: self.homes.get(g, g)
+        if len({home(g) for _, g, _ in rows}) == 1:
             return
         sets: dict = {}
 
@@ -236,9 +240,9 @@ class Pairs:
             todo = [left.pop()]
             while todo and left:
                 n, g, sig = todo.pop()
-                mine, rest = self.root(g), []
+                mine, rest = self.root(home(g)), []
                 for other in left:
-                    m, there = other[0], self.root(other[1])
+                    m, there = other[0], self.root(home(other[1]))
                     if there != mine:
                         lo, hi = (m, n) if m < n else (n, m)
                         if self.den * lo < self.num * hi or len(set_of(g, sig) & set_of(other[1], other[2])) < -(-shared_least(lo, self.num, self.den) // r):
@@ -264,11 +268,13 @@ def ties(num: int, den: int):
                 pairs.bucket(held, 1 << (at[1] >> 56) - 1)
 
         for batch in batches:
-            for key, where, g, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, where, g, home, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != (key, where):
                     meet()
                     at, held = (key, where), []
                 held.append((n, g, sig))
+                if home != g:
+                    pairs.homes[g] = home
         meet()
         if found := pairs.edges():
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["u", "v"])
@@ -330,14 +336,22 @@ def near_groups(df: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col
     groups = prefix.groupBy("name").agg(F.min("node").alias("g"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("seen").alias("seen"))
     groups = written(groups, "groups")
     listed = groups.select("g", "n", F.transform("seen", lambda x: x["key"]).alias("keys"), F.transform("seen", lambda x: x["c"]).alias("counts"))
-    met = listed.mapInArrow(probes(num, den), "key long, lane long, g long, n long, sig binary").repartition("key", "lane").sortWithinPartitions("key", "lane")
-    tied = components(met.mapInArrow(ties(num, den), "u long, v long"), contracted=True)
+
+    def forests(rows, last):
+        met = rows.select("g", "home", "n", "keys", "counts").mapInArrow(probes(num, den, last=last), "key long, lane long, g long, home long, n long, sig binary")
+        return met.repartition("key", "lane").sortWithinPartitions("key", "lane").mapInArrow(ties(num, den), "u long, v long")
+
+    early = written(forests(listed.withColumn("home", F.col("g")), True), "early")
+    homes = written(components(early, contracted=True).toDF("g", "root"), "homes")
+    late = forests(listed.join(homes, "g", "left").withColumn("home", F.coalesce("root", "g")), False)
+    tied = components(early.unionByName(late), contracted=True)
 
     # Groups of a component, or of several nodes, are expanded to their nodes; large components to blocks within bands of size.
     base = math.log(den / num) * (1 + 1e-9) if num < den else 1.0
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(base)) if num < den else F.col("n")
     own = groups.join(tied.withColumnRenamed("node", "g"), "g", "left").filter("root is not null or members > 1")
     own = written(own.select("name", F.coalesce("root", "g").alias("comp")), "open")
+    drop_written(early, homes)
     cand = prefix.select("node", "name").join(own, "name").join(nodes.select("node", "n", "copies", F.col("lead.id").alias("r_id"), F.col("lead.xh").alias("r_xh")), "node")
     cand = written(cand.select("node", "n", "copies", "r_id", "r_xh", "comp", band.cast("long").alias("band")), "cand")
     drop_written(prefix, groups)
