@@ -2,15 +2,17 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from weft.llm import decontaminate, lm_score, packing, quality
-from weft.llm.common import fold
+from weft.llm import common, decontaminate, lm_score, packing, quality
+from weft.llm.common import ROW_GROUP, fold
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -284,6 +286,43 @@ def test_lm_leaf_of_a_code():
     assert [lm_score.leaf_bits(n) for n in (0, 511, 512, 10**9)] == [0, 0, 0, 12] and lm_score.leaf_bits(1 << 13) == 4
 
 
+def test_lm_counts_are_written_in_small_row_groups(frame, corpus):
+    """Pieces of counts come after many small rows; the JVM holds a row group and its pages at once, of all tasks together beyond an executor's memory."""
+    src = frame(corpus).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("xh"), F.lit(True).alias("learn"), "text").coalesce(1)
+    vocabulary = ("small-row-groups", src.sparkSession.sparkContext.broadcast((b"", np.array([1]), np.ones(lm_score.ENDINGS, np.int64))))
+    rows = lm_score.encode(src, vocabulary, 1.0, 1)
+    held = []
+    for path in Path(rows.__dict__["_weft_folder"].removeprefix("file:")).rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        held += [meta.row_group(g).column(c).total_uncompressed_size for g in range(meta.num_row_groups) for c in range(meta.num_columns)]
+    assert max(held) < ROW_GROUP // 2
+    level, k, data = rows.filter("kind = 2").select("id", "xh", "counts").orderBy("id", "xh").first()
+    counts = lm_score.opened(data, level)
+    assert (level, k, counts.shape) == (0, 0, (lm_score.PIECE, lm_score.WIDTHS[0])) and counts.sum() > 0 and lm_score.packed(counts.reshape(-1)) == data
+
+
+def test_written_looks_at_sizes_in_time(spark, monkeypatch):
+    """Large rows that follow many small ones don't make a row group of their own size."""
+    monkeypatch.setattr(common, "ROW_GROUP", 1 << 20)
+    rows = spark.range(9200, numPartitions=1).select("id", F.when(F.col("id") >= 9000, F.expr("aggregate(sequence(1, 400), '', (a, i) -> a || sha2(cast(id * 1000 + i as string), 512))")).alias("x"))
+    out = common.written(rows, "late", 16)
+    groups = []
+    for path in Path(out.__dict__["_weft_folder"].removeprefix("file:")).rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        groups += [meta.row_group(g).total_byte_size for g in range(meta.num_row_groups)]
+    assert out.count() == 9200 and max(groups) < 3 << 20 and sum(groups) > 9 << 20
+
+
+def test_lm_rows_of_all_features():
+    rng = np.random.default_rng(3)
+    stream = rng.integers(0, lm_score.HEAD + 1000, 500)
+    before = lm_score.contexts(stream, np.arange(3, 500))
+    for level in range(len(lm_score.WIDTHS)):
+        path = rng.integers(0, 4096, 497)
+        want = [lm_score.rows_of(f, before[f], path, level) for f in range(lm_score.FEATURES)]
+        assert np.array_equal(lm_score.all_rows(before, path, level), want)
+
+
 def test_lm_sums_pieces_as_a_stream():
     """Pieces of any number of tasks are added in one pass, few at a time."""
     rng = np.random.default_rng(2)
